@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioflow.llm import components, tokens
+from folioflow.llm import components, leaks, tokens
 
 QUERIES = {
     "p4_found": components.p4_found,
     "p4_sizes": components.p4_sizes,
     "p8_ids": tokens.p8_ids,
+    "p9_found": leaks.p9_found,
+    "p9_report": leaks.p9_report,
     "p10_pieces": tokens.p10_pieces,
 }
 SQL = {
