@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from folioflow.llm import components, leaks, tokens
+from folioflow.llm import components, leaks, survivors, tokens
 
 QUERIES = {
     "p4_found": components.p4_found,
     "p4_sizes": components.p4_sizes,
+    "p6_found": survivors.p6_found,
+    "p6_quality": survivors.p6_quality,
+    "p6_values": survivors.p6_values,
     "p8_ids": tokens.p8_ids,
     "p9_found": leaks.p9_found,
     "p9_report": leaks.p9_report,
     "p10_pieces": tokens.p10_pieces,
 }
 SQL = {
+    "p6_found": survivors.P6_FOUND_SQL,
     "p4_found": components.P4_FOUND_SQL,
     "p4_sizes": components.P4_SIZES_SQL,
 }
