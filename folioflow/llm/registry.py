@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from folioflow.llm import components, leaks, survivors, tokens
+from folioflow.llm import canonical, components, leaks, survivors, tokens
 
 QUERIES = {
+    "p1_found": canonical.p1_found,
+    "p1_mapped": canonical.p1_mapped,
+    "p1_unmatched": canonical.p1_unmatched,
     "p4_found": components.p4_found,
     "p4_sizes": components.p4_sizes,
     "p6_found": survivors.p6_found,
