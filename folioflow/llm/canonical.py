@@ -73,8 +73,8 @@ def distance(a: str, b: str, most: int) -> int:
 
 
 @lru_cache(maxsize=1 << 18)
-def word_likeness(typed: str, word: str, lone: bool = False) -> float:
-    """How far a typed word may stand for a word of an entry, 0 when it can't; lone: the entry has no other word."""
+def word_likeness(typed: str, word: str) -> float:
+    """How far a typed word may stand for a word of an entry, 0 when it can't."""
     if typed == word:
         return 1.0
     n, m = len(typed), len(word)
@@ -83,13 +83,15 @@ def word_likeness(typed: str, word: str, lone: bool = False) -> float:
     best = 0.0
     if word.startswith(typed):
         best = 0.95 if n >= 3 or n == 1 else 0.8
-    most = 1 if min(n, m) <= (6 if lone else 7) else 2
+    most = 1 if max(n, m) <= 5 else 2
     if n >= 4 and m >= 4 and abs(n - m) <= most and (d := distance(typed, word, most)) <= most:
-        best = max(best, 0.96 - 0.05 * d)
+        best = max(best, 0.96 - 0.05 * d if d < 2 or min(n, m) > 7 else 0.72)
     if best < 0.9 and 2 <= n <= m:  # a beginning with one slip
         for k in (n - 1, n, n + 1):
             if 2 <= k < m and distance(typed, word[:k], 1) <= 1:
                 best = max(best, (0.86 if n >= 4 else 0.78 if n == 3 else 0.6) - 0.02 * (k != n))
+    if best < 0.7 and n >= 4 and any(w == word and len(k) >= 4 and distance(typed, k, 1) <= 1 for k, w in SHORT.items()):
+        best = 0.7
     if best < 0.7 and 3 <= n < m and typed[0] == word[0]:  # letters left out
         rest = iter(word)
         if all(c in rest for c in typed):
@@ -162,10 +164,9 @@ class Index:
         """How well tokens spell the words of e, 0 unless each word is there and nothing else is."""
         if len(tokens) < len(e.words) or not e.words:
             return 0.0
-        lone = len(e.words) == 1
         pairs = []
         for j, w in enumerate(e.words):
-            row = [(s, -i, -j) for i, t in enumerate(tokens) if (t == w or t not in self.vocabulary) and (s := word_likeness(t, w, lone)) > 0]
+            row = [(s, -i, -j) for i, t in enumerate(tokens) if (t == w or t not in self.vocabulary) and (s := word_likeness(t, w)) > 0]
             if not row:
                 return 0.0
             pairs += row
@@ -227,7 +228,7 @@ def _search(shared, least: float):
 BLOCK_ENTRIES = 20_000
 
 
-def canonical_entries(values: DataFrame, entries: DataFrame, least: float = 0.25, margin: float = 0.01) -> DataFrame:
+def canonical_entries(values: DataFrame, entries: DataFrame, least: float = 0.1, margin: float = 0.01) -> DataFrame:
     """(value, key, fit, cosine): for each distinct value the entry it means, key "" when it means none.
 
     values has the column value, entries has key, name and normalized. All entries
