@@ -30,6 +30,7 @@ IDLE = frozenset("of on in the and for de la le des und der die du et a an onlin
 SHORT = {"jnl": "journal", "jrnl": "journal", "jour": "journal", "wksp": "workshop", "wkshp": "workshop", "ws": "workshop", "intl": "international", "int'l": "international", "trans": "transactions", "proc": "proceedings", "conf": "conference", "symp": "symposium", "adv": "advances", "ann": "annals", "bull": "bulletin", "eur": "european", "lett": "letters", "rev": "review"}
 _BEHIND = re.compile(r"\b(?:vol(?:ume)?|no|nr|pp?|issue|pages?)(?:\.\s*|\s+)\d+(?:\s*[-–]\s*\d+)?\b|\(\s*issn[^)]*\)|\bissn[:\s]*[\dx-]{8,9}|\[[^\]]*\]|\(\s*(?:print|online|forthcoming|in press|to appear)\s*\)|\b\d+\s*\(\d+\)|['’]\d{2}\b|\b(?:1[6-9]|20)\d\d\b|^\s*in\s*:", re.I)
 _BEFORE = re.compile(r"^\s*(?:proceedings|proc)\.?\s+(?:of\s+)?(?:the\s+)?(?:\d+(?:st|nd|rd|th)\s+)?", re.I)
+_ORDINAL = re.compile(r"\d+(?:st|nd|rd|th)")
 _LEET = str.maketrans("01345", "oleas")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 
@@ -42,9 +43,10 @@ def fold(text: str) -> str:
 
 def words(text: str) -> list[str]:
     """The words of a folded name without what is written around it; digits inside words are read as letters."""
-    text = _BEHIND.sub(" ", text)
     out = []
-    for w in _WORD.findall(text):
+    for w in _WORD.findall(_BEHIND.sub(" ", text)):
+        if _ORDINAL.fullmatch(w):
+            continue
         if not w.isalpha() and not w.isdigit():
             w = w.translate(_LEET)
         if w.isdigit():
@@ -181,7 +183,7 @@ class Index:
         for i in free:
             t = tokens[i]
             named = e.acronym is not None and len(t) > 3 and distance(t, e.acronym, 1) <= 1
-            if not named and len(t) > 2 and not (len(t) == 3 and t not in self.begun and any(distance(t, w, 1) <= 1 for w in ("of", "on", "in", "and", "the", "for"))):
+            if not named and len(t) > 2 and not (len(t) == 3 and t not in self.begun):  # a mistyped "of", "on" or "in"
                 return 0.0
         return total / len(e.words)
 
@@ -189,6 +191,7 @@ class Index:
         """The entries whose words value spells: (key, fit, cosine); all with a cosine of `least` or more are tried."""
         text = fold(value)
         out: dict[int, tuple[float, float]] = {}
+        text = _BEHIND.sub(" ", text).strip(" ,.;:")
         for form in dict.fromkeys((_BEFORE.sub("", text), text)):
             tokens = words(form)
             content = [t for t in tokens if t not in IDLE] or tokens
