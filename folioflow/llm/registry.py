@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioflow.llm import canonical, components, leaks, survivors, tokens
+from folioflow.llm import canonical, components, leaks, matching, survivors, tokens
 
 QUERIES = {
     "p1_found": canonical.p1_found,
@@ -13,6 +13,8 @@ QUERIES = {
     "p6_found": survivors.p6_found,
     "p6_quality": survivors.p6_quality,
     "p6_values": survivors.p6_values,
+    "p7_found": matching.p7_found,
+    "p7_pairs": matching.p7_pairs,
     "p8_ids": tokens.p8_ids,
     "p9_found": leaks.p9_found,
     "p9_report": leaks.p9_report,
