@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioflow.llm import canonical, components, leaks, matching, survivors, tokens
+from folioflow.llm import canonical, components, leaks, matching, names, survivors, tokens
 
 QUERIES = {
     "p1_found": canonical.p1_found,
     "p1_mapped": canonical.p1_mapped,
     "p1_unmatched": canonical.p1_unmatched,
+    "p3_found": names.p3_found,
+    "p3_clusters": names.p3_clusters,
     "p4_found": components.p4_found,
     "p4_sizes": components.p4_sizes,
     "p6_found": survivors.p6_found,
