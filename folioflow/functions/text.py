@@ -32,3 +32,27 @@ def clean_text(c: Column) -> Column:
 def id_key(c: Column) -> Column:
     """An identifier as it is compared: lower case, no surrounding white space, null when blank."""
     return none_if_empty(F.lower(strip(c)))
+
+
+def plain_tex(c: Column) -> Column:
+    """Squeezed text with TeX quotes as plain ones; "" for null and empty."""
+    c = F.coalesce(squeeze(c), F.lit(""))
+    for sign, plain in (("``", '"'), ("''", '"'), ("`", "'")):
+        c = F.replace(c, F.lit(sign), F.lit(plain))
+    return c
+
+
+def without_tags(c: Column) -> Column:
+    """clean_text() with every tag read as a blank."""
+    return clean_text(F.regexp_replace(c, "<[^>]+>", " "))
+
+
+def slug(c: Column) -> Column:
+    """Lower case, only word characters and single blanks; "" for null."""
+    return F.coalesce(squeeze(F.regexp_replace(F.lower(c), rf"(?:(?![\p{{L}}\p{{N}}_]|{SPACE}).)+", "")), F.lit(""))
+
+
+def rounded(c: Column, digits: int = 2) -> Column:
+    """Half up on values of 0 and more, alike in every engine: floor(x * 10^digits + 0.5) / 10^digits."""
+    scale = float(10**digits)
+    return F.floor(c.cast("double") * scale + 0.5) / scale
