@@ -186,7 +186,7 @@ def json_decode(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""with j as (select record_no, json(payload) j from sample_semantic_scholar where json_valid(payload) and json_type(payload) = 'OBJECT'),
-ok as (select * from j where not coalesce(json_type(j, '$.publicationVenue.type') = 'NULL', false) and not coalesce(list_bool_or([json_type(x) <> 'OBJECT' for x in try_cast(json_extract(j, '$.citations') as json[])]) and json_type(j, '$.citations') = 'ARRAY', false) and not coalesce(list_bool_or([json_type(x) <> 'OBJECT' for x in try_cast(json_extract(j, '$.authors') as json[])]) and json_type(j, '$.authors') = 'ARRAY', false) and coalesce(json_type(j, '$.title'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.year'), 'NULL') in ('NULL', 'UBIGINT', 'BIGINT'))
+ok as (select * from j where not coalesce(json_type(j, '$.publicationVenue.type') = 'NULL', false) and not coalesce(list_bool_or([coalesce(json_type(x), 'NULL') <> 'OBJECT' for x in try_cast(json_extract(j, '$.citations') as json[])]) and json_type(j, '$.citations') = 'ARRAY', false) and not coalesce(list_bool_or([coalesce(json_type(x), 'NULL') <> 'OBJECT' for x in try_cast(json_extract(j, '$.authors') as json[])]) and json_type(j, '$.authors') = 'ARRAY', false) and coalesce(json_type(j, '$.title'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.year'), 'NULL') in ('NULL', 'UBIGINT', 'BIGINT'))
 select record_no, coalesce(nullif(trim(j->>'$.paperId'), ''), j->>'$.corpusId', 'unknown') source_work_id, coalesce(trim(regexp_replace(j->>'$.title', '\s+', ' ', 'g')), '') title, cast(coalesce(j->>'$.citationCount', '0') as int) citation_count, cast(coalesce(j->>'$.influentialCitationCount', '0') as int) influential_citation_count, coalesce(nullif(j->>'$.publicationVenue.name', ''), j->>'$.venue') raw_venue_name from ok""")
 def parse_semantic_scholar(spark: SparkSession, d: str) -> DataFrame:
     return _parsed(spark, d, "semantic_scholar").where("error_type is null").select("record_no", *[F.col(f"work.{c}").alias(c) for c in ("source_work_id", "title", "citation_count", "influential_citation_count", "raw_venue_name")])
@@ -278,7 +278,7 @@ def first_writer_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return fresh(lines, None)
 
 
-@query("with d as (select doc_id, sha256(text) h from documents where text is not null), s as (select distinct sha256(text) h from documents where source = 'arxiv') select min(doc_id) line_idx, h payload_hash from d where h not in (select h from s) group by h")
+@query("with d as (select doc_id, sha256(text) h from documents where text is not null), s as (select distinct sha256(text) h from documents where source = 'arxiv' and text is not null) select min(doc_id) line_idx, h payload_hash from d where h not in (select h from s) group by h")
 def replay_skip(spark: SparkSession, d: str) -> DataFrame:
     """Of all documents those whose payload no document from arXiv, the earlier run, holds."""
     lines = table(spark, d, "documents", "doc_id", "text", "source").where("text is not null").select(F.col("doc_id").alias("line_idx"), ids.payload_hash(F.col("text")).alias("payload_hash"), "source")
