@@ -7,7 +7,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,10 +78,6 @@ def hot_keys(df: DataFrame, key: str, total: int, n: Column | None = None) -> Da
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(n if n is not None else F.lit(1)).alias("_n")).where(F.col("_n") > least).select(key)
 
 
-def is_small(spark: SparkSession, path_bytes: int) -> bool:
-    return path_bytes <= BROADCAST_BYTES
-
-
 def disk_bytes(df: DataFrame) -> int:
     """Bytes of the files that df is read from; the proof for a broadcast."""
     spark = df.sparkSession

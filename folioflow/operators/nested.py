@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -97,6 +98,7 @@ def _no_surrogates(s: str | None) -> str | None:
 
 
 def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 100_000))
     for batch in batches:
         columns: list[list] = [[] for _ in _ARROW]
         for no, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -118,8 +120,8 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def occurrences(records: DataFrame, number: str = "record_no", payload: str = "payload") -> DataFrame:
     """One row for every node of every record, with the columns of BRIDGES.
 
-    Payloads that are null, unreadable or not a JSON object give no row; so does an
-    empty table. Redelivered records keep their rows under each number. Extra columns
+    Payloads that are null, unreadable (also for being nested deeper than the parser
+    goes) or not a JSON object give no row; so does an empty table. Redelivered records keep their rows under each number. Extra columns
     of records are not read.
     """
     return records.select(F.col(number).cast("bigint"), F.col(payload)).mapInArrow(_flatten, BRIDGES)

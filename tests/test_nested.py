@@ -68,3 +68,11 @@ def test_empty_table_and_long_values(spark):
     long = "x" * 300_000
     nodes = N.occurrences(records(spark, [json.dumps({"reference": [{"DOI": long}]})]))
     assert len(N.members(nodes, "f", ["reference", "DOI"], [True, False]).first().value) == 300_000
+
+
+def test_deep_nesting_does_not_break(spark):
+    deep = '{"reference": [{"DOI": "d", "x": ' + "[" * 2000 + "]" * 2000 + "}]}"
+    worse = '{"reference": ' + "[" * 200_000 + "]" * 200_000 + "}"
+    nodes = N.occurrences(records(spark, [deep, worse, '{"reference": {"DOI": "e"}}']))
+    got = N.members(nodes, "f", ["reference", "DOI"], [True, False]).collect()
+    assert {r.value for r in got} in ({"d", "e"}, {"e"})
