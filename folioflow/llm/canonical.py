@@ -84,8 +84,8 @@ def word_likeness(typed: str, word: str) -> float:
         return 0.97
     best = 0.0
     if word.startswith(typed):
-        best = 0.95 if n >= 3 or n == 1 else 0.8
-    most = 1 if max(n, m) <= 5 else 2
+        best = 0.95 if n >= 3 else 0.85 if n == 1 else 0.8
+    most = 1 if max(n, m) <= 5 else 2 if min(n, m) < 12 else 3
     if n >= 4 and m >= 4 and abs(n - m) <= most and (d := distance(typed, word, most)) <= most:
         best = max(best, 0.96 - 0.05 * d if d < 2 or min(n, m) > 7 else 0.72)
     if best < 0.9 and 2 <= n <= m:  # a beginning with one slip
