@@ -252,9 +252,8 @@ def candidate_pairs(nodes: DataFrame, block: int = BLOCK, keep: float = 0.45) ->
     A word is rare when 2 to `block` titles have it; the longest word of a name stands
     for it (family). Attributes are the whole title; two rare title words; a rare word with the first,
     the least or the greatest family; a rare word alone, where a record has no two authors;
-    two families next to each other in order, where a title has not two rare
-    words; the first family with the day, for lone authors and records without a title
-    or rare words; and three words, for titles without rare ones and two authors.
+    two families next to each other in order; the first family with the day, for lone
+    authors and records without a title or rare words; and three words, for titles without rare ones and two authors.
 
     An attribute held by 2 to `block` records joins them pair by pair; one held by more
     is refined by author and year first, and where even that is held by more, each
@@ -277,14 +276,14 @@ def candidate_pairs(nodes: DataFrame, block: int = BLOCK, keep: float = 0.45) ->
     ws, fs = F.col("ws"), F.col("fs")
     key = lambda k, rule, needy=False: F.struct(k.alias("key"), F.lit(rule).cast("byte").alias("rule"), (F.lit(needy) if isinstance(needy, bool) else needy).alias("needy"))
     few = F.size("fs") < 2
-    no_title, poor = F.size("tokens") == 0, F.col("r") < 2
+    no_title = F.size("tokens") == 0
     empty = F.array().cast("array<struct<key:bigint,rule:tinyint,needy:boolean>>")
     every = F.concat(
         F.when(F.size("tokens") > 2, F.array(key(F.xxhash64(F.lit("t"), F.array_join(F.array_sort("tokens"), " ")), 0))).otherwise(empty),
         F.flatten(F.transform(ws, lambda x, i: F.transform(F.slice(ws, i + 2, F.size(ws)), lambda y: key(pair("ww", x, y), 0)))),
         F.flatten(F.transform(ws, lambda x: F.transform(F.array_distinct(F.filter(F.array(F.array_min(fs), F.array_max(fs), F.col("first")), lambda f: f.isNotNull())), lambda f: key(pair("wf", x, f), 0)))),
         F.transform(ws, lambda x: key(F.xxhash64(F.lit("w"), x), 1, few)),
-        F.when((F.size("fs") > 1) & poor, F.transform(F.slice(fs, 1, F.greatest(F.size("fs") - 1, F.lit(0))), lambda x, i: key(pair("ff", x, fs[i + 1]), 0))).otherwise(empty),
+        F.when(F.size("fs") > 1, F.transform(F.slice(fs, 1, F.greatest(F.size("fs") - 1, F.lit(0))), lambda x, i: key(pair("ff", x, fs[i + 1]), 0))).otherwise(empty),
         F.when(F.col("day").isNotNull() & F.col("first").isNotNull(), F.array(key(pair("fd", F.col("first"), F.col("day")), 1, no_title | few | (F.col("r") == 0)))).otherwise(empty),
         F.when((F.col("r") == 0) & few & ~no_title, F.transform(F.when(F.size("tokens") > 2, _threes(F.array_sort(F.array_distinct("tokens")))).otherwise(F.array(F.array_join("tokens", " "))), lambda t: key(F.xxhash64(F.lit("www"), t), 0))).otherwise(empty),
     )

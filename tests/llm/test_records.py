@@ -117,6 +117,15 @@ def test_matching_hot_block_keeps_its_links(spark):
     assert {(f"a{i:03d}", f"a{i + 1:03d}") for i in range(0, 120, 2)} <= got
 
 
+def test_matching_clean_title_meets_mistyped_copy_by_its_authors(spark):
+    rows = [(f"c{i}", "crossref", None, None, t, 2020, None, people("Ana Kalzoton", "Wen Trembor", "Uma Grensk")) for i, t in enumerate(["on the saline grid of drennaderm and bounded motsonite", "on the saline grid of drenaderm and bounded mostonite"])]
+    other = [(f"f{i}{w}", "arxiv", None, None, f"on the saline grid of {w} and bounded {v}", 2000 + i % 20, None, people(f"Bo Fam{i}x")) for i in range(20) for w, v in [("drennaderm", f"lorith{i}"), (f"xoral{i}", "motsonite")]]
+    other += [(f"h{i}", "arxiv", None, None, f"the saline grid with bounded filler{i}", 1990, None, people(f"Cy Gam{i}x")) for i in range(30)]
+    rows[1] = (rows[1][0], "openalex", *rows[1][2:5], None, *rows[1][6:])
+    got = {(r.observation_id_a, r.observation_id_b) for r in matching.linked_records(works(spark, rows + other)).collect()}
+    assert ("c0", "c1") in got
+
+
 def test_names(spark):
     ids = {
         "p1": ["Christopher F. Gukmoumara"], "p2": ["Gukmoumara, Chris F.", "GUKMOUMARA, Chris F."], "p3": ["C. F. Gukmomuara"], "p4": ["Gukmoumara, Robert"], "p5": ["Dr. Christopher Gukmoumara Jr."],
