@@ -15,7 +15,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ from folioflow.operators.common import removed, table, written
 
 #: Blocks of up to so many records are compared pair by pair; larger ones are refined first.
 BLOCK = 30
+#: Rows of a chunk of a key that nothing splits.
+CHUNK = 1000
 #: Small words of titles, and what stands for a missing title.
 SMALL = frozenset("a an the of on in for from to and or with by at as is are how their its towards toward via using".split())
 JUNK = frozenset(("", "na", "n a", "none", "null", "untitled", "unknown", "title", "no title", "tbd", "test"))
@@ -156,27 +158,22 @@ def records(observations: DataFrame) -> DataFrame:
     return o.mapInArrow(_prepared, _NODES_DDL)
 
 
-def _threes(words):
-    """All combinations of three words of a sorted array, each as one text."""
-    behind = lambda i, k: F.slice(words, i + k, F.size(words))
-    return F.flatten(F.flatten(F.transform(words, lambda x, i: F.transform(behind(i, 2), lambda y, j: F.transform(behind(i + j, 3), lambda z: F.concat(x, F.lit(" "), y, F.lit(" "), z))))))
+#: Before any hash of a word.
+LEAST = -(1 << 63)
+_KEYS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("key", pa.int64()), ("rule", pa.int8()), ("m", pa.int8()), ("needy", pa.bool_()), ("last", pa.int64())])
+_KEYS_DDL = "a bigint, b bigint, w float, key bigint, rule byte, m byte, needy boolean, last bigint"
 
 
-_KEYS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("key", pa.int64()), ("rule", pa.int8()), ("r", pa.int8()), ("needy", pa.bool_())])
-_KEYS_DDL = "a bigint, b bigint, w float, key bigint, rule byte, r byte, needy boolean"
+def _met(total: int, block: int):
+    """Rows (key, n, rule, m, needy, last) sorted by key and n into pairs (a, b, w) of up to `block` rows with one key.
 
-
-def _met(total: int, block: int, last: bool):
-    """Rows (key, n, rule, r, needy) sorted by key and n into pairs (a, b, w) of up to `block` rows with one key.
-
-    The rows of a larger key come out again as (a = n, key, ...) to be refined, or, when
-    this is the last refinement, as pairs with the first one. Only up to `block` rows of
-    a key are ever held.
+    The rows of a larger key come out again as (a = n, key, ...) to be refined. Only up to
+    `block` rows of a key are ever held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the rows of the key at the end of the last batch, by column
-        hot, centre, many = None, 0, 0
+        hot = None
         for batch in _and_none(batches):
             if batch is not None:
                 now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -207,23 +204,13 @@ def _met(total: int, block: int, last: bool):
                 i, j = np.triu_indices(int(m), 1)
                 x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
                 rule = cols[2][x]
-                ok = (rule == 0) | ((rule == 1) & (cols[4][x] | cols[4][y]))
+                ok = (rule != 1) | cols[4][x] | cols[4][y]
                 x, y = x[ok], y[ok]
                 a.append(cols[1][x])
                 b.append(cols[1][y])
                 w.append(np.full(len(x), math.log(max(2, total) / m), dtype=np.float32))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
-            if last:
-                for rows in rest:
-                    if key[rows[0]] != hot:
-                        hot, centre, many = key[rows[0]], cols[1][rows[0]], 0
-                        rows = rows[1:]
-                    many += len(rows)
-                    a.append(np.full(len(rows), centre))
-                    b.append(cols[1][rows])
-                    w.append(np.full(len(rows), math.log(max(2, total) / max(block, many)), dtype=np.float32))
-                rest = []
-            elif rest:
+            if rest:
                 hot = key[rest[-1][0]]
             n = sum(map(len, a))
             rows = np.concatenate(rest) if rest else np.zeros(0, dtype=np.int64)
@@ -233,7 +220,7 @@ def _met(total: int, block: int, last: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(first, pa.int64()), pa.array(np.concatenate([*b, np.zeros(len(rows), dtype=np.int64)]), pa.int64(), mask=np.arange(n + len(rows)) >= n), pa.array(np.concatenate([*w, np.zeros(len(rows), dtype=np.float32)]), pa.float32()),
-                        none(key[rows], pa.int64()), none(cols[2][rows], pa.int8()), none(cols[3][rows], pa.int8()), none(cols[4][rows], pa.bool_()),
+                        none(key[rows], pa.int64()), none(cols[2][rows], pa.int8()), none(cols[3][rows], pa.int8()), none(cols[4][rows], pa.bool_()), none(cols[5][rows], pa.int64()),
                     ],
                     schema=_KEYS,
                 )
@@ -246,56 +233,75 @@ def _and_none(batches):
     yield None
 
 
+def refined(keys: DataFrame, facts: DataFrame, total: int, block: int) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
+    """(weighed, whole, tables): pairs (a, b, w) of keys of up to `block` rows, pairs (a, b) of larger ones that nothing splits.
+
+    The rows of a larger key go on with each further word of their title, in order, until
+    at most `block` stand together; scored titles always have a word in common. Rows of
+    equal titles, and those whose title has no word beyond the key or none at all, meet
+    all others of the key, in chunks. tables are to be removed in the end.
+    """
+    tables, weighed, whole = [], [], []
+    while True:
+        met = written(keys.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_met(total, block), _KEYS_DDL), "met")
+        tables.append(met)
+        weighed.append(met.where("key is null").select("a", "b", "w"))
+        wide = met.where("key is not null").select(F.col("a").alias("n"), "key", "rule", "m", "needy", "last").join(facts, "n")
+        if met.where("key is not null").isEmpty():
+            break
+        keys = wide.where("rule <> 2").select("key", "n", "rule", "m", "needy", F.explode(F.filter("ws", lambda w: w > F.col("last"))).alias("last")).select(F.xxhash64("key", "last").alias("key"), "n", "rule", (F.col("m") + 1).cast("byte").alias("m"), "needy", "last")
+    union = lambda x: reduce(DataFrame.unionByName, x) if x else None
+    return union(weighed), union(whole), tables
+
+
 def candidate_pairs(nodes: DataFrame, block: int = BLOCK, keep: float = 0.45) -> DataFrame:
     """(a, b): the candidate graph after meta-blocking, a < b; nodes are told by their number n.
 
-    A word is rare when 2 to `block` titles have it; the longest word of a name stands
-    for it (family). Attributes are the whole title; two rare title words; a rare word with the first,
-    the least or the greatest family; a rare word alone, where a record has no two authors;
-    two families next to each other in order; the first family with the day, for lone
-    authors and records without a title or rare words; and three words, for titles without rare ones and two authors.
+    A word is rare when 2 to `block` titles have it and frequent when more do; the longest
+    word of a name stands for it (family). Attributes are the whole title; a rare word; two
+    frequent words; a frequent word with the first, the least or the greatest family; two
+    families next to each other in order; and the first family with the day, for lone
+    authors and records without a title or rare words.
 
     An attribute held by 2 to `block` records joins them pair by pair; one held by more
-    is refined by author and year first, and where even that is held by more, each
-    record is joined to the smallest one only, which propagation completes. An edge
-    weighs the sum of log(all / holders) over its attributes and is kept if it has at
-    least `keep` of the weight of the heaviest edge at one of its ends.
+    is refined by one further title word after another (see refined()).
+
+    An edge weighs the sum of log(all / holders) over its attributes and is kept if it has
+    at least `keep` of the weight of the heaviest edge at one of its ends.
     """
     total = nodes.count()
     # Words and families go by their hashes: two that fall together only add candidates.
     words = nodes.select("n", F.explode(F.array_distinct(F.transform("tokens", lambda t: F.xxhash64(t)))).alias("w"))
-    rare = words.groupBy("w").agg(F.count("*").alias("c")).where(F.col("c").between(2, block)).select("w")
+    held = words.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w", (F.col("c") <= block).alias("rare"))
     # Sides that are unique by the key are hashed, which spares sorting the larger ones.
-    word = words.join(rare.hint("shuffle_hash"), "w").groupBy("n").agg(F.array_sort(F.collect_list("w")).alias("ws"))
+    word = words.join(held.hint("shuffle_hash"), "w").groupBy("n").agg(F.array_sort(F.collect_list("w")).alias("ws"), F.collect_list(F.when(F.col("rare"), F.col("w"))).alias("rs"))
     none = F.array().cast("array<bigint>")
     hashed = lambda c: F.transform(c, lambda t: F.xxhash64(t))
-    facts = nodes.select("n", "day", "year", "tokens", F.try_element_at(hashed("families"), F.lit(1)).alias("first"), F.array_sort(F.array_distinct(hashed("families"))).alias("fs")).join(word.hint("shuffle_hash"), "n", "left")
-    facts = written(facts.withColumn("ws", F.coalesce("ws", none)).withColumn("r", F.least(F.size("ws"), F.lit(2)).cast("byte")), "facts")
+    facts = nodes.select("n", "day", "tokens", F.try_element_at(hashed("families"), F.lit(1)).alias("first"), F.array_sort(F.array_distinct(hashed("families"))).alias("fs")).join(word.hint("shuffle_hash"), "n", "left")
+    facts = written(facts.withColumn("ws", F.coalesce("ws", none)).withColumn("rs", F.coalesce("rs", none)), "facts")
 
     pair = lambda tag, x, y: F.xxhash64(F.lit(tag), x, y)
-    ws, fs = F.col("ws"), F.col("fs")
-    key = lambda k, rule, needy=False: F.struct(k.alias("key"), F.lit(rule).cast("byte").alias("rule"), (F.lit(needy) if isinstance(needy, bool) else needy).alias("needy"))
+    rs, fs, hs = F.col("rs"), F.col("fs"), F.array_sort(F.array_except("ws", "rs"))
+    # m title words make a key, the last of which is `last`; keys of families count none.
+    key = lambda k, rule, needy=False, m=0, last=LEAST: F.struct(k.alias("key"), F.lit(rule).cast("byte").alias("rule"), F.lit(m).cast("byte").alias("m"), (F.lit(last) if isinstance(last, int) else last).cast("bigint").alias("last"), (F.lit(needy) if isinstance(needy, bool) else needy).alias("needy"))
     few = F.size("fs") < 2
     no_title = F.size("tokens") == 0
-    empty = F.array().cast("array<struct<key:bigint,rule:tinyint,needy:boolean>>")
+    empty = F.array().cast("array<struct<key:bigint,rule:tinyint,m:tinyint,last:bigint,needy:boolean>>")
     every = F.concat(
-        F.when(F.size("tokens") > 2, F.array(key(F.xxhash64(F.lit("t"), F.array_join(F.array_sort("tokens"), " ")), 0))).otherwise(empty),
-        F.flatten(F.transform(ws, lambda x, i: F.transform(F.slice(ws, i + 2, F.size(ws)), lambda y: key(pair("ww", x, y), 0)))),
-        F.flatten(F.transform(ws, lambda x: F.transform(F.array_distinct(F.filter(F.array(F.array_min(fs), F.array_max(fs), F.col("first")), lambda f: f.isNotNull())), lambda f: key(pair("wf", x, f), 0)))),
-        F.transform(ws, lambda x: key(F.xxhash64(F.lit("w"), x), 1, few)),
+        F.when(~no_title, F.array(key(F.xxhash64(F.lit("t"), F.array_join(F.array_sort("tokens"), " ")), 2))).otherwise(empty),
+        F.transform(rs, lambda x: key(F.xxhash64(F.lit("w"), x), 0)),
+        F.flatten(F.transform(hs, lambda x, i: F.transform(F.slice(hs, i + 2, F.size(hs)), lambda y: key(pair("ww", x, y), 0, m=2, last=y)))),
+        F.flatten(F.transform(hs, lambda x: F.transform(F.array_distinct(F.filter(F.array(F.array_min(fs), F.array_max(fs), F.col("first")), lambda f: f.isNotNull())), lambda f: key(pair("wf", x, f), 0)))),
         F.when(F.size("fs") > 1, F.transform(F.slice(fs, 1, F.greatest(F.size("fs") - 1, F.lit(0))), lambda x, i: key(pair("ff", x, fs[i + 1]), 0))).otherwise(empty),
-        F.when(F.col("day").isNotNull() & F.col("first").isNotNull(), F.array(key(pair("fd", F.col("first"), F.col("day")), 1, no_title | few | (F.col("r") == 0)))).otherwise(empty),
-        F.when((F.col("r") == 0) & few & ~no_title, F.transform(F.when(F.size("tokens") > 2, _threes(F.array_sort(F.array_distinct("tokens")))).otherwise(F.array(F.array_join("tokens", " "))), lambda t: key(F.xxhash64(F.lit("www"), t), 0))).otherwise(empty),
+        F.when(F.col("day").isNotNull() & F.col("first").isNotNull(), F.array(key(pair("fd", F.col("first"), F.col("day")), 1, no_title | few | (F.size("rs") == 0)))).otherwise(empty),
     )
-    keys = facts.select("n", "r", F.explode(every).alias("k")).select(F.col("k.key").alias("key"), "n", F.col("k.rule").alias("rule"), "r", F.col("k.needy").alias("needy"))
-    met = written(keys.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_met(total, block, False), _KEYS_DDL), "met")
-    wide = met.where("key is not null").select(F.col("a").alias("n"), "key", "rule", "r", "needy")
-    refined = wide.join(facts.select("n", "year", "fs"), "n").select("n", "key", "rule", "r", "needy", "year", F.explode_outer("fs").alias("f")).select(F.xxhash64("key", "year", "f").alias("key"), "n", "rule", "r", "needy")
-    again = refined.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_met(total, block, True), _KEYS_DDL)
-    edges = written(met.where("key is null").select("a", "b", "w").unionByName(again.select("a", "b", "w")).groupBy("a", "b").agg(F.sum("w").cast("float").alias("weight")), "edges")
+    keys = facts.select("n", F.explode(every).alias("k")).select("k.key", "n", "k.rule", "k.m", "k.needy", "k.last")
+    light, whole, tables = refined(keys, facts.select("n", "ws", F.size(F.array_distinct("tokens")).alias("size")), total, block)
+    edges = written(light.groupBy("a", "b").agg(F.sum("w").cast("float").alias("weight")), "edges")
     top = written(edges.select(F.explode(F.array("a", "b")).alias("n"), "weight").groupBy("n").agg((F.max("weight") * keep).cast("float").alias("least")), "tops")
-    pairs = written(edges.join(top.toDF("a", "la").hint("shuffle_hash"), "a").join(top.toDF("b", "lb").hint("shuffle_hash"), "b").where("weight >= la or weight >= lb").select("a", "b"), "pairs")
-    for t in (facts, met, edges, top):
+    kept = edges.join(top.toDF("a", "la").hint("shuffle_hash"), "a").join(top.toDF("b", "lb").hint("shuffle_hash"), "b").where("weight >= la or weight >= lb").select("a", "b")
+    pairs = written(kept if whole is None else kept.unionByName(whole).distinct(), "pairs")
+    for t in (facts, *tables, edges, top):
         removed(t)
     return pairs
 

@@ -126,6 +126,13 @@ def test_matching_clean_title_meets_mistyped_copy_by_its_authors(spark):
     assert ("c0", "c1") in got
 
 
+def test_matching_titles_of_frequent_words_only(spark):
+    rows = [("c0", "crossref", None, None, "saline grid bounded lorith", 2020, None, people("Ana Kalzoton", "Wen Trembor")), ("c1", "openalex", None, None, "saline grid bounded lorit", 2020, None, people("Ana Kalzotin", "Wen Trembar"))]
+    other = [(f"{w}{i}", "arxiv", None, None, f"{w} filler{i}", 2000 + i % 20, None, people(f"Bo Fam{i}x", f"Cy {w.replace(' ', '')}{i}x")) for i in range(40) for w in ("saline grid", "bounded lorith", "saline bounded", "grid lorit")]
+    got = {(r.observation_id_a, r.observation_id_b) for r in matching.linked_records(works(spark, rows + other)).collect()}
+    assert ("c0", "c1") in got
+
+
 def test_names(spark):
     ids = {
         "p1": ["Christopher F. Gukmoumara"], "p2": ["Gukmoumara, Chris F.", "GUKMOUMARA, Chris F."], "p3": ["C. F. Gukmomuara"], "p4": ["Gukmoumara, Robert"], "p5": ["Dr. Christopher Gukmoumara Jr."],
