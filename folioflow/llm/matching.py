@@ -249,6 +249,14 @@ def refined(keys: DataFrame, facts: DataFrame, total: int, block: int) -> tuple[
         wide = met.where("key is not null").select(F.col("a").alias("n"), "key", "rule", "m", "needy", "last").join(facts, "n")
         if met.where("key is not null").isEmpty():
             break
+        lone = (F.col("rule") == 2) | (F.col("m") == F.col("size"))
+        open_keys = wide.where(lone).groupBy("key").agg(F.lit(1).alias("x")).select("key")
+        rows = wide.select("key", "n", "rule", "needy", lone.alias("lone")).join(open_keys, "key", "left_semi")
+        chunks = rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("k"))
+        rows = rows.join(chunks, "key")
+        one = rows.where("lone").select("key", F.col("n").alias("x"), F.col("needy").alias("nx"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("c"))
+        other = rows.select("key", F.col("n").alias("y"), F.col("needy").alias("ny"), "rule", F.col("lone").alias("ly"), F.pmod(F.xxhash64("n"), F.col("k")).alias("c"))
+        whole.append(one.join(other, ["key", "c"]).where("(x < y or x > y and not ly) and (rule <> 1 or nx or ny)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
         keys = wide.where("rule <> 2").select("key", "n", "rule", "m", "needy", F.explode(F.filter("ws", lambda w: w > F.col("last"))).alias("last")).select(F.xxhash64("key", "last").alias("key"), "n", "rule", (F.col("m") + 1).cast("byte").alias("m"), "needy", "last")
     union = lambda x: reduce(DataFrame.unionByName, x) if x else None
     return union(weighed), union(whole), tables
@@ -298,10 +306,13 @@ def candidate_pairs(nodes: DataFrame, block: int = BLOCK, keep: float = 0.45) ->
     keys = facts.select("n", F.explode(every).alias("k")).select("k.key", "n", "k.rule", "k.m", "k.needy", "k.last")
     light, whole, tables = refined(keys, facts.select("n", "ws", F.size(F.array_distinct("tokens")).alias("size")), total, block)
     edges = written(light.groupBy("a", "b").agg(F.sum("w").cast("float").alias("weight")), "edges")
+    whole = None if whole is None else written(whole.distinct(), "whole")
+    for t in (facts, *tables):
+        removed(t)
     top = written(edges.select(F.explode(F.array("a", "b")).alias("n"), "weight").groupBy("n").agg((F.max("weight") * keep).cast("float").alias("least")), "tops")
     kept = edges.join(top.toDF("a", "la").hint("shuffle_hash"), "a").join(top.toDF("b", "lb").hint("shuffle_hash"), "b").where("weight >= la or weight >= lb").select("a", "b")
     pairs = written(kept if whole is None else kept.unionByName(whole).distinct(), "pairs")
-    for t in (facts, *tables, edges, top):
+    for t in (edges, top, *([] if whole is None else [whole])):
         removed(t)
     return pairs
 

@@ -133,6 +133,14 @@ def test_matching_titles_of_frequent_words_only(spark):
     assert ("c0", "c1") in got
 
 
+def test_matching_many_records_of_one_title(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i, end: f"{letters[i] * 4} {letters[i]}{letters[-1 - i]}{letters[i]}{letters[(i + 9) % 26]}{letters[(i + 5) % 26]}{end}"
+    rows = [(f"{k}{i:02d}", "crossref" if k == "a" else "arxiv", None, None, "Coarse mesh estimation", 2000 + i if k == "a" else None, None, people(name(i, "on" if k == "a" else "in"))) for i in range(24) for k in "ab"]
+    got = {(r.observation_id_a, r.observation_id_b) for r in matching.linked_records(works(spark, rows)).collect()}
+    assert {(f"a{i:02d}", f"b{i:02d}") for i in range(24)} <= got
+
+
 def test_names(spark):
     ids = {
         "p1": ["Christopher F. Gukmoumara"], "p2": ["Gukmoumara, Chris F.", "GUKMOUMARA, Chris F."], "p3": ["C. F. Gukmomuara"], "p4": ["Gukmoumara, Robert"], "p5": ["Dr. Christopher Gukmoumara Jr."],
