@@ -182,13 +182,19 @@ def _slipped(word):
     return F.concat(F.array(word), F.transform(F.sequence(F.lit(1), F.char_length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.char_length(word)))))
 
 
+def _slipped_twice(word):
+    """A word and all forms of it with one or two letters left out: words two slips apart have one of these in common."""
+    return F.array_distinct(F.flatten(F.transform(_slipped(word), _slipped)))
+
+
 def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = BLOCK) -> DataFrame:
     """(w, v, cosine) for distinct words (w, count) whose weighted n-gram vectors have a cosine of `least` or more.
 
     Only words that keep their first or last half can be one slip apart, so candidates
     share an anchored n-gram of half their length; their exact cosine is then the sum
     of products over all common n-grams. In an anchor that more than `block` words
-    share only those meet that also have a form with one letter left out in common.
+    share only those meet that also have a form with up to two letters left out in
+    common, which all words two slips apart have.
     """
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
     size = F.char_length("w")
@@ -198,7 +204,7 @@ def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = B
         *[F.concat(F.lit("$|"), F.expr("right(w, greatest(2, cast(floor(char_length(w) / 2) as int)) - %d)" % d)) for d in (0, 1)],
     )).alias("key"), size.alias("n")).distinct()
     wide = anchors.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > block).select("key")
-    narrowed = anchors.join(wide, "key", "left_semi").select("w", "key", "n", F.explode(_slipped(F.col("w"))).alias("form")).select("w", F.concat_ws("|", "key", "form").alias("key"), "n")
+    narrowed = anchors.join(wide, "key", "left_semi").select("w", "key", "n", F.explode(_slipped_twice(F.col("w"))).alias("form")).select("w", F.concat_ws("|", "key", "form").alias("key"), "n")
     anchors = written(anchors.join(wide, "key", "left_anti").select("w", "key", "n").unionByName(narrowed), "anchors")
     pairs = anchors.join(anchors.toDF("v", "key", "m"), "key").where((F.col("w") < F.col("v")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select("w", "v").distinct()
     pairs = pairs.where(F.levenshtein("w", "v", 2) >= 0)

@@ -163,6 +163,13 @@ def test_names(spark):
     assert joined({k: v for k, v in crowded.items() if k in ids and k != "p3"}) == joined({k: v for k, v in cluster.items() if k in ids and k != "p3"})
 
 
+def test_near_words_of_a_crowded_anchor_are_those_of_a_calm_one(spark):
+    df = spark.createDataFrame([(w, 1) for w in ("gelpindottir", "gelsirdottir", "gelpundottir", "helpindottir", "marbaldottir", "lindenberg", "lundanberg", "limdemberg")], "w string, count int")
+    pairs = lambda block: {(r.w, r.v) for r in names.near_words(df, least=0.1, block=block).collect()}
+    assert ("gelpindottir", "gelsirdottir") in pairs(200)
+    assert pairs(1) == pairs(200)
+
+
 def average_linkage(n, sims, least):
     clusters = [{i} for i in range(n)]
     s = lambda x, y: sum(sims.get((min(a, b), max(a, b)), 0) for a in x for b in y) / len(x) / len(y)
