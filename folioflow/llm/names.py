@@ -343,12 +343,20 @@ def name_clusters(spellings: DataFrame, least: float = 0.5, block: int = BLOCK)
     facts = vertices.select("v", F.struct("given", "initials", "body").alias("x"), starts.alias("starts"), "family")
     placed = written(own.unionByName(other).join(facts.drop("family"), "v").select("v", "family", "block", "cosine", "x", F.explode("starts").alias("start")), "placed")
     frequent = vertices.where("not body and given <> ''").groupBy("given").agg(F.countDistinct("family").alias("families"))
-    # Where more than `block` profiles stand together, given names meet only if they have a form with one letter left out in
-    # common, also by the name a pet name is short for; initials alone are few and still meet every name.
+    # Where more than `block` profiles stand together, given names meet by forms with letters left out, which all that
+    # likeness() accepts have in common: of the name, of the names it is short for and its pet names with one slip; of an
+    # organisation, of each word. Initials alone are few and still meet every name.
     wide = placed.groupBy("block", "start").agg(F.count("*").alias("held")).where(F.col("held") > block).select("block", "start")
-    formal = F.create_map(*[F.lit(x) for k, v in PET_NAMES.items() for x in (k, v)])
-    given = F.when(F.col("x.body"), F.element_at(F.split("x.given", " "), -1)).otherwise(F.col("x.given"))
-    forms = F.array_distinct(F.flatten(F.transform(F.concat(F.array(given), F.coalesce(F.split(F.try_element_at(formal, given), " "), F.array().cast("array<string>"))), _slipped)))
+    pets: dict[str, str] = {}
+    for k, v in PET_NAMES.items():
+        for x in v.split():
+            pets[x] = f"{pets[x]} {k}" if x in pets else k
+    table_of = lambda d: F.create_map(*[F.lit(x) for k, v in d.items() for x in (k, v)])
+    related = lambda d: F.filter(F.split(F.coalesce(F.try_element_at(table_of(d), F.col("x.given")), F.lit("")), " "), lambda w: w != "")
+    deep = lambda w: F.when(F.char_length(w) >= 5, _slipped_twice(w)).otherwise(_slipped(w))
+    of_person = F.concat(deep(F.col("x.given")), F.flatten(F.transform(F.concat(related(PET_NAMES), related(pets)), _slipped)))
+    of_body = F.flatten(F.transform(F.split("x.given", " "), deep))
+    forms = F.array_distinct(F.when(F.col("x.body"), of_body).otherwise(of_person))
     crowded = placed.join(wide, ["block", "start"], "left_semi")
     by_form = crowded.where("x.given <> ''").withColumn("form", F.explode(forms))
     initial = crowded.where("x.given = ''").withColumn("form", F.lit("#"))

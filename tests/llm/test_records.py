@@ -170,6 +170,18 @@ def test_near_words_of_a_crowded_anchor_are_those_of_a_calm_one(spark):
     assert pairs(1) == pairs(200)
 
 
+def test_crowded_given_names_meet_as_calm_ones_do(spark):
+    ids = {"p1": "William Gukmoumara", "p2": "Gukmoumara, Bily", "q1": "Christopher Vleirtbirndra", "q2": "Vleirtbirndra, Chrostophar", "o1": "Drail Deep Sky Survey Collaboration", "o2": "Drail Deep Sky S. Collaboration"}
+    filler = [(f"f{i}", f"Xoril{i}aq, {g}") for i in range(8) for g in ("Christopher", "William")]
+    df = spark.createDataFrame([*ids.items(), *filler], "id string, name string")
+
+    def pairs(block):
+        c = {r.id: r.cluster for r in names.name_clusters(df, block=block).collect()}
+        return {(a, b) for a in ids for b in ids if a < b and c[a] == c[b]}
+
+    assert pairs(200) == {("p1", "p2"), ("q1", "q2"), ("o1", "o2")} and pairs(1) == pairs(200)
+
+
 def average_linkage(n, sims, least):
     clusters = [{i} for i in range(n)]
     s = lambda x, y: sum(sims.get((min(a, b), max(a, b)), 0) for a in x for b in y) / len(x) / len(y)
