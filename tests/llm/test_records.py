@@ -46,6 +46,13 @@ def test_usable_abstracts(spark):
     assert got == [True, True, True] + [False] * 10 + [True, True]
 
 
+def test_long_bare_titles_are_no_abstracts(spark):
+    title = "A long title of many words " * 20 + "ends here."
+    df = spark.createDataFrame([(0, title, title), (1, title.replace("ends", "ensd"), title), (2, GOOD * 12, title)], "i int, a string, t string")
+    text = survivors.unmarked(F.col("a"))
+    assert [r.ok for r in df.select("i", survivors.real_abstract(text, survivors.plain(text), survivors.plain(F.col("t"))).alias("ok")).orderBy("i").collect()] == [False, False, True]
+
+
 def test_survivors(spark):
     rows = [
         ("o1", "crossref", "10.1/A", "t", GOOD, dt.date(2020, 1, 2), 2020, D(2021, 1, 1)), ("o2", "semantic_scholar", " 10.1/a ", "t", "N/A", dt.date(2019, 1, 2), 2020, D(2021, 1, 1)), ("o3", "openalex", "10.1/a", "t", GOOD + " More.", None, None, D(2021, 1, 1)), ("o4", "openalex", "10.1/a", "t", GOOD, dt.date(2099, 1, 1), None, D(2021, 6, 1)), ("o4", "openalex", "10.1/a", "t", GOOD, dt.date(2099, 1, 1), None, D(2021, 6, 1)),
