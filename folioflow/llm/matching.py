@@ -1,10 +1,13 @@
 """Entities matched across sources that share no key, each pair with a confidence: collective graph linkage.
 
-Records that share rare attributes (title words, pairs of authors, author and day)
-become the edges of a candidate graph, weighted by how rare these attributes are.
-Meta-blocking prunes edges that are light for both ends. The others are scored by
-title, authors and date, and similarity is then propagated between neighbours
-until no pair gains any more.
+Records that share rare attributes (title words, families of authors) become the
+edges of a candidate graph, weighted by how rare these attributes are in the
+corpus. Which attributes are rare is told by rank within a record, never by a
+count: two titles that have enough words in common always meet over their rarest
+ones (prefix filtering). Meta-blocking prunes edges that are light for both ends,
+the others are scored by title, authors and date. Records of one identifier and
+copies form a class beforehand, and similarity is then propagated between
+neighbouring classes until no pair gains any more.
 """
 
 from __future__ import annotations
@@ -15,21 +18,22 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import id_key
 from folioflow.llm.canonical import distance
-from folioflow.operators.common import removed, table, written
+from folioflow.llm.names import slipped, slipped_twice
+from folioflow.operators.common import HOT_SHARE, removed, spread_join, table, written
 
-#: Blocks of up to so many records are compared pair by pair; larger ones are refined first.
-BLOCK = 30
-#: Rows of a chunk of a key that nothing splits.
-CHUNK = 1000
+#: Records of one key that a task compares pair by pair; those of larger keys are split first. It changes cost, not results.
+BLOCK = 256
+#: What two titles must have in common, as a share of the shorter one's words, to be compared; more without a common family.
+SHARE, SHARE_ALONE = 0.4, 0.6
 #: Small words of titles, and what stands for a missing title.
 SMALL = frozenset("a an the of on in for from to and or with by at as is are how their its towards toward via using".split())
 JUNK = frozenset(("", "na", "n a", "none", "null", "untitled", "unknown", "title", "no title", "tbd", "test"))
@@ -149,7 +153,7 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         titles = [title_parts(t) for t in batch.column(6).to_pylist()]
         names = [author_names(a) for a in batch.column(7).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([t for t, _ in titles], pa.list_(pa.string())), pa.array([m for _, m in titles]), pa.array(["|".join(x) for x in names]), pa.array([[family(y) for y in x] for x in names], pa.list_(pa.string()))], schema=_NODES)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([t for t, _ in titles], pa.list_(pa.string())), pa.array([m for _, m in titles]), pa.array(["|".join(x) for x in names]), pa.array([list(dict.fromkeys(family(y) for y in x)) for x in names], pa.list_(pa.string()))], schema=_NODES)
 
 
 def records(observations: DataFrame) -> DataFrame:
@@ -158,16 +162,32 @@ def records(observations: DataFrame) -> DataFrame:
     return o.mapInArrow(_prepared, _NODES_DDL)
 
 
-#: Before any hash of a word.
-LEAST = -(1 << 63)
-_KEYS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("key", pa.int64()), ("rule", pa.int8()), ("m", pa.int8()), ("needy", pa.bool_()), ("last", pa.int64())])
-_KEYS_DDL = "a bigint, b bigint, w float, key bigint, rule byte, m byte, needy boolean, last bigint"
+# --- candidates -------------------------------------------------------------------------
 
+#: What a key is made of: a title word and a family, two title words, a whole title, or the first family and the day.
+WORD_FAMILY, WORDS, TITLE, FAMILY_DAY = range(4)
+_ROW = "key bigint, n bigint, sig bigint, own bigint, size byte, rule byte"
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sig", pa.int64()), ("own", pa.int64()), ("size", pa.int8()), ("rule", pa.int8())])
+_MET_DDL = "a bigint, b bigint, key bigint, sig bigint, own bigint, size byte, rule byte"
+_AT_ONCE = 1 << 20
 
-def _met(total: int, block: int):
-    """Rows (key, n, rule, m, needy, last) sorted by key and n into pairs (a, b, w) of up to `block` rows with one key.
 
-    The rows of a larger key come out again as (a = n, key, ...) to be refined. Only up to
+def _possible(sig_a, sig_b, own_a, own_b, size_a, size_b, rule) -> np.ndarray:
+    """Whether two titles may have enough words in common, by their signatures.
+
+    A signature has a bit for each word, so a word whose bit the other lacks is none of
+    its words: the bound is never below the number of common words.
+    """
+    common = np.minimum(size_a - np.bitwise_count(sig_a & ~sig_b), size_b - np.bitwise_count(sig_b & ~sig_a))
+    alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
+    short = np.minimum(size_a, size_b)
+    return (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
+
+
+def _met(block: int):
+    """Rows of _ROW sorted by key into the possible pairs (a, b) of each key of up to `block` rows.
+
+    The rows of a larger key come out again as (a = n, key, ...) to be split. Only up to
     `block` rows of a key are ever held.
     """
 
@@ -179,6 +199,7 @@ def _met(total: int, block: int):
                 now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
                 if not len(now[0]):
                     continue
+                now[2:4] = [c.view(np.uint64) for c in now[2:4]]  # as bits: numpy counts those of a signed number's absolute value
                 cols = [np.concatenate(x) for x in zip(held, now)] if held else now
             else:
                 cols = held
@@ -187,43 +208,39 @@ def _met(total: int, block: int):
             key = cols[0]
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             ends = np.append(starts[1:], len(key))
+            going_hot = False
             if batch is not None:  # the last key may go on
                 keep = [c[starts[-1] :] for c in cols]
                 going_hot = len(keep[0]) > block or hot == key[-1]
+                held = [] if going_hot else keep
                 if not going_hot:
-                    held, starts, ends = keep, starts[:-1], ends[:-1]
-                else:
-                    held = []
+                    starts, ends = starts[:-1], ends[:-1]
             size = ends - starts
             is_hot = size > block
             if hot is not None and len(starts) and key[starts[0]] == hot:
                 is_hot[0] = True
-            a, b, w = [], [], []
+            found = []
             for m in np.unique(size[~is_hot & (size > 1)]):
-                at = starts[~is_hot & (size == m)]
+                of_size = starts[~is_hot & (size == m)]
                 i, j = np.triu_indices(int(m), 1)
-                x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                rule = cols[2][x]
-                ok = (rule != 1) | cols[4][x] | cols[4][y]
-                x, y = x[ok], y[ok]
-                a.append(cols[1][x])
-                b.append(cols[1][y])
-                w.append(np.full(len(x), math.log(max(2, total) / m), dtype=np.float32))
+                step = max(1, _AT_ONCE // len(i))
+                for k in range(0, len(of_size), step):
+                    at = of_size[k : k + step]
+                    x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+                    ok = _possible(cols[2][x], cols[2][y], cols[3][x], cols[3][y], cols[4][x], cols[4][y], cols[5][x])
+                    a, b = cols[1][x[ok]], cols[1][y[ok]]
+                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
             if rest:
                 hot = key[rest[-1][0]]
-            n = sum(map(len, a))
-            rows = np.concatenate(rest) if rest else np.zeros(0, dtype=np.int64)
-            none = lambda x, kind: pa.array(np.concatenate([np.zeros(n, dtype=x.dtype), x]), kind, mask=np.arange(n + len(rows)) < n)
-            if n + len(rows):
-                first = np.concatenate([*a, cols[1][rows]]) if a or len(rows) else np.zeros(0, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(first, pa.int64()), pa.array(np.concatenate([*b, np.zeros(len(rows), dtype=np.int64)]), pa.int64(), mask=np.arange(n + len(rows)) >= n), pa.array(np.concatenate([*w, np.zeros(len(rows), dtype=np.float32)]), pa.float32()),
-                        none(key[rows], pa.int64()), none(cols[2][rows], pa.int8()), none(cols[3][rows], pa.int8()), none(cols[4][rows], pa.bool_()), none(cols[5][rows], pa.int64()),
-                    ],
-                    schema=_KEYS,
-                )
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            pairs = np.unique(pairs, axis=0) if 1 < len(pairs) < 1 << 18 else pairs
+            for k in range(0, len(pairs), 1 << 16):
+                one = pairs[k : k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
+            if rest:
+                rows = np.concatenate(rest)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows].view(np.int64) if c in (2, 3) else cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5), list(_MET)[2:]))], schema=_MET)
 
     return run
 
@@ -233,96 +250,122 @@ def _and_none(batches):
     yield None
 
 
-def refined(keys: DataFrame, facts: DataFrame, total: int, block: int) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
-    """(weighed, whole, tables): pairs (a, b, w) of keys of up to `block` rows, pairs (a, b) of larger ones that nothing splits.
+def _may_match(a: str, b: str) -> Column:
+    """_possible() for columns of a join, whose names end in a and b."""
+    c = lambda name, side: F.col(f"{name}{side}")
+    lacks = lambda x, y: F.bit_count(c("sig", x).bitwiseAND(F.bitwise_not(c("sig", y))))
+    common = F.least(c("size", a) - lacks(a, b), c("size", b) - lacks(b, a))
+    alone = (F.col("rule") == WORDS) & (c("own", a) != 0) & (c("own", b) != 0) & (c("own", a).bitwiseAND(c("own", b)) == 0)
+    short = F.least(c("size", a), c("size", b))
+    return (common >= F.when(alone, SHARE_ALONE).otherwise(SHARE) * short - 1e-9) & ((F.col("rule") != FAMILY_DAY) | (short == 0))
+
 
-    The rows of a larger key go on with each further word of their title, in order, until
-    at most `block` stand together; scored titles always have a word in common. Rows of
-    equal titles, and those whose title has no word beyond the key or none at all, meet
-    all others of the key, in chunks. tables are to be removed in the end.
+def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFrame:
+    """(a, b): the possible pairs of a row of left and a row of right of one key, in tasks of block times block rows.
+
+    With `same` left and right are the same rows and each pair comes once.
     """
-    tables, weighed, whole = [], [], []
-    while True:
-        met = written(keys.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_met(total, block), _KEYS_DDL), "met")
-        tables.append(met)
-        weighed.append(met.where("key is null").select("a", "b", "w"))
-        wide = met.where("key is not null").select(F.col("a").alias("n"), "key", "rule", "m", "needy", "last").join(facts, "n")
-        if met.where("key is not null").isEmpty():
-            break
-        lone = (F.col("rule") == 2) | (F.col("m") == F.col("size"))
-        open_keys = wide.where(lone).groupBy("key").agg(F.lit(1).alias("x")).select("key")
-        rows = wide.select("key", "n", "rule", "needy", lone.alias("lone")).join(open_keys, "key", "left_semi")
-        chunks = rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("k"))
-        rows = rows.join(chunks, "key")
-        one = rows.where("lone").select("key", F.col("n").alias("x"), F.col("needy").alias("nx"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("c"))
-        other = rows.select("key", F.col("n").alias("y"), F.col("needy").alias("ny"), "rule", F.col("lone").alias("ly"), F.pmod(F.xxhash64("n"), F.col("k")).alias("c"))
-        whole.append(one.join(other, ["key", "c"]).where("(x < y or x > y and not ly) and (rule <> 1 or nx or ny)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-        keys = wide.where("rule <> 2").select("key", "n", "rule", "m", "needy", F.explode(F.filter("ws", lambda w: w > F.col("last"))).alias("last")).select(F.xxhash64("key", "last").alias("key"), "n", "rule", (F.col("m") + 1).cast("byte").alias("m"), "needy", "last")
-    union = lambda x: reduce(DataFrame.unionByName, x) if x else None
-    return union(weighed), union(whole), tables
-
-
-def candidate_pairs(nodes: DataFrame, block: int = BLOCK, keep: float = 0.45) -> DataFrame:
-    """(a, b): the candidate graph after meta-blocking, a < b; nodes are told by their number n.
-
-    A word is rare when 2 to `block` titles have it and frequent when more do; the longest
-    word of a name stands for it (family). Attributes are the whole title; a rare word; two
-    frequent words; a frequent word with the first, the least or the greatest family; two
-    families next to each other in order; and the first family with the day, for lone
-    authors and records without a title or rare words.
-
-    An attribute held by 2 to `block` records joins them pair by pair; one held by more
-    is refined by one further title word after another (see refined()).
-
-    An edge weighs the sum of log(all / holders) over its attributes and is kept if it has
-    at least `keep` of the weight of the heaviest edge at one of its ends.
+    chunk = lambda rows: rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("k")), "key").withColumn("c", F.pmod(F.xxhash64("n"), F.col("k")).cast("int"))
+    x, y = chunk(left), chunk(right)
+    counts = y.groupBy("key").agg(F.max("k").alias("other"))
+    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", "sig", "own", "size")])
+    one = side(x.join(counts, "key").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other") - 1))), "x", [F.col("c").alias("i"), "j"])
+    two = side(y.join(x.groupBy("key").agg(F.max("k").alias("mine")), "key").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("mine") - 1))), "y", ["i", F.col("c").alias("j")])
+    return one.join(two.drop("rule"), ["key", "i", "j"]).where(F.col("nx") < F.col("ny") if same else F.col("nx") != F.col("ny")).where(_may_match("x", "y")).select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b"))
+
+
+def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(pairs, tables): all possible pairs (a, b) of rows with one key, once or more; tables are to be removed in the end.
+
+    Pairs that are ever accepted agree in the name of an author, slips allowed, unless one
+    of them has no authors. So the rows of a key that more than `block` hold are split by
+    the words of their authors' names, each with the forms that slips leave in common,
+    and rows without authors meet all others of the key. What is still held by more is
+    compared in tasks of block times block rows, so none gets a hot key whole.
     """
-    total = nodes.count()
-    # Words and families go by their hashes: two that fall together only add candidates.
-    words = nodes.select("n", F.explode(F.array_distinct(F.transform("tokens", lambda t: F.xxhash64(t)))).alias("w"))
-    held = words.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w", (F.col("c") <= block).alias("rare"))
-    # Sides that are unique by the key are hashed, which spares sorting the larger ones.
-    word = words.join(held.hint("shuffle_hash"), "w").groupBy("n").agg(F.array_sort(F.collect_list("w")).alias("ws"), F.collect_list(F.when(F.col("rare"), F.col("w"))).alias("rs"))
+    cut = lambda rows: written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met(block), _MET_DDL), "met")
+    met = cut(keys)
+    tables, pairs = [met], met.where("key is null").select("a", "b")
+    hot = met.where("key is not null").select("key", F.col("a").alias("n"), "sig", "own", "size", "rule")
+    if hot.isEmpty():
+        return pairs, tables
+    word = F.explode(F.array_distinct(F.split(F.regexp_replace("names", r"\|", " "), " "))).alias("word")
+    deep = F.when(F.char_length("word") >= 7, slipped_twice(F.col("word"))).when(F.char_length("word") >= 5, slipped(F.col("word"))).otherwise(F.array("word"))
+    named = hot.join(nodes.where("names <> ''").select("n", "names"), "n").select(hot.columns + [word]).select("key", "n", "sig", "own", "size", "rule", F.explode(deep).alias("form")).select(F.xxhash64("key", "form").alias("key"), "n", "sig", "own", "size", "rule").distinct()
+    again = cut(named)
+    tables.append(again)
+    pairs = pairs.unionByName(again.where("key is null").select("a", "b"))
+    still = again.where("key is not null").select("key", F.col("a").alias("n"), "sig", "own", "size", "rule")
+    if not still.isEmpty():
+        pairs = pairs.unionByName(_all_of(still, still, block, True))
+    lone = hot.join(nodes.where("names = ''").select("n"), "n", "left_semi").select(hot.columns)
+    if not lone.isEmpty():
+        pairs = pairs.unionByName(_all_of(lone, hot, block, False))
+    return pairs, tables
+
+
+def ranked(nodes: DataFrame, total: int) -> DataFrame:
+    """(n, counts, fcounts, ws, fs): how many nodes have each distinct title word and family of a node.
+
+    counts and fcounts stand in the order of the words and families; ws and fs are the
+    hashes of those that another node has too, rarest first, with ties by hash, so that
+    all nodes have their common words in the same order. Words that more than one node in
+    HOT_SHARE has are joined by broadcast (see spread_join).
+    """
+    hashed = lambda tag, c: F.transform(c, lambda t: F.xxhash64(F.lit(tag), t))
+    n_words = F.size(F.array_distinct("tokens"))
+    items = nodes.select("n", n_words.alias("nw"), F.posexplode(F.concat(hashed("w", F.array_distinct("tokens")), hashed("f", F.col("families")))).alias("pos", "h"))
+    held = written(items.groupBy("h").agg(F.count("*").cast("int").alias("c")), "held")
+    hot = held.where(F.col("c") > max(1000, total // HOT_SHARE)).select("h")
+    one = F.array_sort(F.collect_list(F.struct("pos", "c", "h", (F.col("pos") < F.col("nw")).alias("word"))))
+    by = spread_join(items, held, "h", hot).groupBy("n").agg(one.alias("x"))
+    of = lambda word: F.filter("x", lambda e: e["word"] == F.lit(word))
+    rare = lambda word: F.transform(F.array_sort(F.transform(F.filter(of(word), lambda e: e["c"] > 1), lambda e: F.struct(e["c"].alias("c"), e["h"].alias("h")))), lambda e: e["h"])
+    counts = lambda word: F.transform(of(word), lambda e: e["c"])
+    every = F.transform(of(True), lambda e: e["h"])
+    return by.select("n", counts(True).alias("counts"), counts(False).alias("fcounts"), rare(True).alias("ws"), rare(False).alias("fs"), every.alias("every"), F.transform(of(False), lambda e: e["h"]).alias("own"))
+
+
+def attributes(nodes: DataFrame, facts: DataFrame) -> DataFrame:
+    """The keys over which nodes meet, as rows of _ROW.
+
+    By prefix filtering two titles that have `share` of the longer one's words in common
+    have one among the first size - ceil(share * size) + 1 of each, rarest first, and two
+    among one more. So titles with half of their words and a family in common meet over
+    one rare word and the family, those with SHARE_ALONE of their words over two rare
+    words, equal titles over the title, and records without a title over the first
+    family and the day.
+    """
+    bits = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))))
+    prefix = lambda share, least: F.slice("ws", 1, F.greatest(F.lit(least), F.col("size") - F.ceil(share * F.col("size") - 1e-9).cast("int") + least))
+    rows = nodes.select("n", "day", "names", "tokens", F.size(F.array_distinct("tokens")).alias("size"), F.try_element_at("families", F.lit(1)).alias("first")).join(facts.select("n", "ws", "fs", bits("every").alias("sig"), bits("own").alias("own")).hint("shuffle_hash"), "n", "left")
     none = F.array().cast("array<bigint>")
-    hashed = lambda c: F.transform(c, lambda t: F.xxhash64(t))
-    facts = nodes.select("n", "day", "tokens", F.try_element_at(hashed("families"), F.lit(1)).alias("first"), F.array_sort(F.array_distinct(hashed("families"))).alias("fs")).join(word.hint("shuffle_hash"), "n", "left")
-    facts = written(facts.withColumn("ws", F.coalesce("ws", none)).withColumn("rs", F.coalesce("rs", none)), "facts")
-
-    pair = lambda tag, x, y: F.xxhash64(F.lit(tag), x, y)
-    rs, fs, hs = F.col("rs"), F.col("fs"), F.array_sort(F.array_except("ws", "rs"))
-    # m title words make a key, the last of which is `last`; keys of families count none.
-    key = lambda k, rule, needy=False, m=0, last=LEAST: F.struct(k.alias("key"), F.lit(rule).cast("byte").alias("rule"), F.lit(m).cast("byte").alias("m"), (F.lit(last) if isinstance(last, int) else last).cast("bigint").alias("last"), (F.lit(needy) if isinstance(needy, bool) else needy).alias("needy"))
-    few = F.size("fs") < 2
-    no_title = F.size("tokens") == 0
-    empty = F.array().cast("array<struct<key:bigint,rule:tinyint,m:tinyint,last:bigint,needy:boolean>>")
+    rows = rows.select("n", "day", "names", "first", "size", "tokens", F.coalesce("ws", none).alias("ws"), F.coalesce("fs", none).alias("fs"), F.coalesce("sig", F.lit(0)).cast("bigint").alias("sig"), F.coalesce("own", F.lit(0)).cast("bigint").alias("own"))
+    rows = rows.withColumn("half", prefix(0.5, 1)).withColumn("most", prefix(SHARE_ALONE, 2))
+    key = lambda rule, *c: F.struct(F.xxhash64(F.lit(rule), *c).alias("key"), F.lit(rule).cast("byte").alias("rule"))
+    nothing = F.array().cast("array<struct<key:bigint,rule:tinyint>>")
     every = F.concat(
-        F.when(~no_title, F.array(key(F.xxhash64(F.lit("t"), F.array_join(F.array_sort("tokens"), " ")), 2))).otherwise(empty),
-        F.transform(rs, lambda x: key(F.xxhash64(F.lit("w"), x), 0)),
-        F.flatten(F.transform(hs, lambda x, i: F.transform(F.slice(hs, i + 2, F.size(hs)), lambda y: key(pair("ww", x, y), 0, m=2, last=y)))),
-        F.flatten(F.transform(hs, lambda x: F.transform(F.array_distinct(F.filter(F.array(F.array_min(fs), F.array_max(fs), F.col("first")), lambda f: f.isNotNull())), lambda f: key(pair("wf", x, f), 0)))),
-        F.when(F.size("fs") > 1, F.transform(F.slice(fs, 1, F.greatest(F.size("fs") - 1, F.lit(0))), lambda x, i: key(pair("ff", x, fs[i + 1]), 0))).otherwise(empty),
-        F.when(F.col("day").isNotNull() & F.col("first").isNotNull(), F.array(key(pair("fd", F.col("first"), F.col("day")), 1, no_title | few | (F.size("rs") == 0)))).otherwise(empty),
-    )
-    keys = facts.select("n", F.explode(every).alias("k")).select("k.key", "n", "k.rule", "k.m", "k.needy", "k.last")
-    light, whole, tables = refined(keys, facts.select("n", "ws", F.size(F.array_distinct("tokens")).alias("size")), total, block)
-    edges = written(light.groupBy("a", "b").agg(F.sum("w").cast("float").alias("weight")), "edges")
-    whole = None if whole is None else written(whole.distinct(), "whole")
-    for t in (facts, *tables):
-        removed(t)
-    top = written(edges.select(F.explode(F.array("a", "b")).alias("n"), "weight").groupBy("n").agg((F.max("weight") * keep).cast("float").alias("least")), "tops")
-    kept = edges.join(top.toDF("a", "la").hint("shuffle_hash"), "a").join(top.toDF("b", "lb").hint("shuffle_hash"), "b").where("weight >= la or weight >= lb").select("a", "b")
-    pairs = written(kept if whole is None else kept.unionByName(whole).distinct(), "pairs")
-    for t in (edges, top, *([] if whole is None else [whole])):
-        removed(t)
-    return pairs
+        F.flatten(F.transform("half", lambda w: F.transform("fs", lambda f: key(WORD_FAMILY, w, f)))),
+        F.flatten(F.transform("most", lambda w, i: F.transform(F.slice("most", i + 2, F.size("most")), lambda v: key(WORDS, w, v)))),
+        F.when(F.col("size") > 0, F.array(key(TITLE, F.array_join(F.array_sort("tokens"), " ")))).otherwise(nothing),
+        F.when(F.col("day").isNotNull() & F.contains("names", F.lit("|")), F.array(key(FAMILY_DAY, F.col("first"), F.col("day")))).otherwise(nothing),
+    )
+    return rows.select("n", "sig", "own", F.least("size", F.lit(127)).cast("byte").alias("size"), F.explode(every).alias("k")).select("k.key", "n", "sig", "own", "size", "k.rule")
+
+
+@lru_cache(maxsize=1 << 16)
+def _letters(word: str) -> frozenset:
+    return frozenset(word)
 
 
 def _near(x: str, y: str) -> bool:
     if x == y:
         return True
-    n = min(len(x), len(y))
+    n, m = len(x), len(y)
+    if n > m:
+        n, m = m, n
     most = 2 if n >= 7 else 1 if n >= 4 else 0
-    return most > 0 and abs(len(x) - len(y)) <= most and len(set(x) ^ set(y)) <= 2 * most and _measured(x, y, most)
+    return m - n <= most and most > 0 and len(_letters(x) ^ _letters(y)) <= 2 * most and _measured(x, y, most)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -330,32 +373,38 @@ def _measured(x: str, y: str, most: int) -> bool:
     return distance(x, y, most) <= most
 
 
-def title_likeness(a: list[str], b: list[str]) -> float:
-    """The share of words two titles have in common, slips allowed; of a title cut short, the share within it."""
+def title_likeness(a: list[str], b: list[str], least: float = 0.0) -> float:
+    """The share of words two titles have in common, slips allowed; of a title cut short, the share within it.
+
+    0 as soon as it is sure to be below `least`.
+    """
     if a == b:
         return 1.0 if a else 0.0
-    rest_a, rest_b = list(a), list(b)
-    same = 0
+    if not a or not b:
+        return 0.0
+    rest_a, rest_b = [], list(b)
     for t in a:
         if t in rest_b:
             rest_b.remove(t)
-            rest_a.remove(t)
-            same += 1
+        else:
+            rest_a.append(t)
+    same = len(a) - len(rest_a)
     if 4 * same < min(len(a), len(b)):  # too little for slips to make up
         return 0.0
-    for t in list(rest_a):
+    short, long = (a, b) if len(a) < len(b) else (b, a)
+    if len(short) >= 2 and len(long) - len(short) >= 2 and all(_near(x, y) for x, y in zip(short, long)):
+        return max(2 * len(short) / (len(a) + len(b)), 0.9)
+    need = least * (len(a) + len(b)) / 2 - 1e-9
+    left = len(rest_a)
+    for t in rest_a:
+        if same + min(left, len(rest_b)) < need:
+            return 0.0
+        left -= 1
         hit = next((u for u in rest_b if _near(t, u)), None)
         if hit is not None:
             rest_b.remove(hit)
-            rest_a.remove(t)
             same += 1
-    if not a or not b:
-        return 0.0
-    whole = 2 * same / (len(a) + len(b))
-    short, long = (a, b) if len(a) < len(b) else (b, a)
-    if len(short) >= 2 and len(long) - len(short) >= 2 and all(_near(x, y) for x, y in zip(short, long)):
-        return max(whole, 0.9)
-    return whole
+    return 2 * same / (len(a) + len(b)) if same >= need else 0.0
 
 
 def author_likeness(a: list[str], b: list[str]) -> float | None:
@@ -382,59 +431,161 @@ def author_likeness(a: list[str], b: list[str]) -> float | None:
     return hits / len(a)
 
 
-def confidence(x: dict, y: dict) -> float:
-    """How sure it is that two records with the same mark are of one work, 0 to 1."""
+def confidence(x: dict, y: dict, least: float = 0.0) -> float:
+    """How sure it is that two records with the same mark are of one work, 0 to 1; 0 once it is sure to be below `least`."""
     years = abs(x["year"] - y["year"]) if x["year"] is not None and y["year"] is not None else None
-    authors = author_likeness(x["names"], y["names"])
     one_day = x["day"] is not None and x["day"] == y["day"]
     if not x["tokens"] or not y["tokens"]:
-        if authors is None or authors < 1 or not one_day:
+        if not one_day or author_likeness(x["names"], y["names"]) != 1:
             return 0.0
         return 0.75 if min(len(x["names"]), len(y["names"])) > 1 else 0.6
-    title = title_likeness(x["tokens"], y["tokens"])
-    if title < 0.5:
-        return 0.0
     time = 0.7 if years is None else (1.0, 0.85, 0.5)[years] if years <= 2 else 0.1
     if one_day:
         time = 1.0
-    people = 0.45 if authors is None else authors
+    known = bool(x["names"] and y["names"])
+    title = title_likeness(x["tokens"], y["tokens"], (least - 0.3 * (1.0 if known else 0.45) - 0.1 * time) / 0.6)
+    if title < 0.5:
+        return 0.0
+    people = author_likeness(x["names"], y["names"]) if known else 0.45
     return 0.6 * title + 0.3 * people + 0.1 * time
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("s", pa.float32())])
+_EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("s", pa.float32())])
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for a, b, tx, ty, nx, ny, yx, yy, dx, dy in zip(*(c.to_pylist() for c in batch.columns)):
-            x = {"tokens": tx.split(), "names": nx.split("|") if nx else [], "year": yx, "day": dx}
-            y = {"tokens": ty.split(), "names": ny.split("|") if ny else [], "year": yy, "day": dy}
-            s = confidence(x, y)
-            if s > 0.3:
-                out.append((a, b, s))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_PAIR)], schema=_PAIR)
+def _scored(total: int, least: float):
+    """Pairs with their texts into edges (a, b, weight, similarity); those with too few words in common are none.
+
+    An edge weighs the sum of log(all / holders) over the words and families both ends have.
+    """
+    log_total = math.log(max(2, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for a, b, tx, ty, nx, ny, yx, yy, dx, dy, counts, fcounts in zip(*(c.to_pylist() for c in batch.columns)):
+                p, q = tx.split(), ty.split()
+                both = set(p).intersection(q)
+                if p and q and len(both) < SHARE * min(len(set(p)), len(set(q))) - 1e-9:
+                    continue
+                x = {"tokens": p, "names": nx.split("|") if nx else [], "year": yx, "day": dx}
+                y = {"tokens": q, "names": ny.split("|") if ny else [], "year": yy, "day": dy}
+                w = sum(log_total - math.log(c) for t, c in zip(dict.fromkeys(p), counts or ()) if t in both)
+                if fcounts and ny:
+                    theirs = {family(f) for f in y["names"]}
+                    w += sum(log_total - math.log(c) for f, c in zip(dict.fromkeys(map(family, x["names"])), fcounts) if f in theirs)
+                s = confidence(x, y, least)
+                for c, v in zip(out, (a, b, w, s if s >= least else 0.0)):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _EDGE)], schema=_EDGE)
+
+    return run
+
+
+def candidate_edges(nodes: DataFrame, total: int, least: float, block: int = BLOCK, keep: float = 0.45) -> DataFrame:
+    """(a, b, s), a < b: the edges of the candidate graph with a similarity of `least` or more that meta-blocking keeps.
+
+    An edge is kept if it has at least `keep` of the weight of the heaviest edge at one of
+    its ends. nodes has n, tokens, mark, names, families, year and day; ends with another
+    mark are no edge.
+    """
+    facts = written(ranked(nodes, total), "facts")
+    pairs, tables = met_pairs(attributes(nodes, facts), nodes, block)
+    pairs = pairs.distinct()
+    own = nodes.select("n", F.array_join("tokens", " ").alias("t"), "mark", "names", "year", "day")
+    first = own.join(facts.select("n", "counts", "fcounts").hint("shuffle_hash"), "n", "left").toDF("a", "ta", "ma", "na", "ya", "da", "counts", "fcounts")
+    both = pairs.join(first.hint("shuffle_hash"), "a").join(own.toDF("b", "tb", "mb", "nb", "yb", "db").hint("shuffle_hash"), "b").where("ma = mb")
+    edges = written(both.select("a", "b", "ta", "tb", "na", "nb", "ya", "yb", "da", "db", "counts", "fcounts").mapInArrow(_scored(total, least), "a bigint, b bigint, w float, s float"), "edges")
+    for t in (facts, *tables):
+        removed(t)
+    top = edges.select(F.explode(F.array("a", "b")).alias("n"), "w").groupBy("n").agg((F.max("w") * keep).alias("least"))
+    sure = edges.where(F.col("s") >= least)
+    kept = written(sure.join(top.toDF("a", "la").hint("shuffle_hash"), "a").join(top.toDF("b", "lb").hint("shuffle_hash"), "b").where("w >= la or w >= lb").select("a", "b", "s"), "kept")
+    removed(edges)
+    return kept
+
+
+# --- classes and propagation ------------------------------------------------------------
+
+
+def _least_labels(edges: DataFrame) -> DataFrame:
+    """(v, label) for each vertex of edges (x, y): the least vertex it is joined to, with pointer jumping."""
+    arcs = written(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "arcs")
+    label = written(arcs.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m")).select("v", F.least("v", "m").alias("label")), "label")
+    while True:
+        near = arcs.join(label.toDF("y", "l"), "y").groupBy(F.col("x").alias("v")).agg(F.min("l").alias("l"))
+        step = label.join(near, "v").select("v", F.least("label", "l").alias("label"), F.col("label").alias("old"))
+        jump = label.toDF("at", "beyond")
+        new = written(step.join(jump, step.label == jump["at"], "left").select("v", F.least("label", "beyond").alias("label"), "old"), "label")
+        label = new.select("v", "label")
+        if new.where("label < old").isEmpty():
+            return label
+
+
+def classes(nodes: DataFrame, total: int) -> DataFrame:
+    """(n, c): the class of each node that is not alone in it, named by its least node.
 
+    One class are nodes with the same DOI or arXiv id and mark, and copies: nodes equal in
+    all that is compared (p), if that tells a work; directly or through others.
+    """
+    tagged = lambda tag, c: F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(tag), F.col(c), F.col("mark")))
+    keys = F.array(F.when(F.col("telling"), F.xxhash64(F.lit("p"), "p")), tagged("d", "doi"), tagged("x", "arxiv"))
+    member = nodes.select("n", F.explode(F.array_compact(keys)).alias("k"))
+    held = written(member.groupBy("k").agg(F.min("n").alias("least"), F.count("*").alias("c")).where("c > 1"), "held")
+    hot = held.where(F.col("c") > max(1000, total // HOT_SHARE)).select("k")
+    star = written(spread_join(member, held.select("k", "least"), "k", hot).select("k", "n", "least"), "star")
+    label = written(star.groupBy("n").agg(F.min("least").alias("c")), "class")
+    # Keys whose members got different labels join them.
+    of_key = star.join(label, "n").groupBy("k", "c").agg(F.lit(1).alias("one")).select("k", "c")
+    ends = of_key.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k", "lo")
+    across = written(of_key.join(ends, "k").where("c > lo").select(F.col("c").alias("x"), F.col("lo").alias("y")).distinct(), "across")
+    if not across.isEmpty():
+        to = _least_labels(across)
+        label = written(label.join(to.toDF("c", "to"), "c", "left").select("n", F.coalesce("to", "c").alias("c")), "class")
+    for t in (held, star):
+        removed(t)
+    return label
 
-def propagated(edges: DataFrame, strong: float, fade: float, rounds: int = 8) -> DataFrame:
+
+def propagated(edges: DataFrame, strong: float, fade: float) -> DataFrame:
     """(a, b, s) with similarity passed on by neighbours until no pair gains: s(a, b) is at least fade * s(a, c) * s(c, b).
 
     Only pairs of at least `strong` pass theirs on, so a weak link joins no two groups.
     """
     now = news = written(edges.where(F.col("s") >= strong).groupBy("a", "b").agg(F.max("s").alias("s")), "sims")
-    for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
-        fresh = news.unionByName(news.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
-        step = fresh.select(F.col("b").alias("c"), "a", "s").join(both.select(F.col("a").alias("c"), F.col("b").alias("b"), F.col("s").alias("s2")), "c").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("s") * F.col("s2") * fade).cast("float").alias("s")).where(F.col("s") >= strong).groupBy("a", "b").agg(F.max("s").alias("s"))
-        gained = step.join(now.select("a", "b", F.col("s").alias("old")), ["a", "b"], "left").where("old is null or s > old + 1e-6").select("a", "b", "s")
-        news = written(gained, "gain")
-        if news.isEmpty():
-            break
-        now = written(now.unionByName(news).groupBy("a", "b").agg(F.max("s").alias("s")), "sims")
-    return now
+    turned = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+    while True:
+        step = turned(news).select(F.col("b").alias("c"), "a", "s").join(turned(now).select(F.col("a").alias("c"), "b", F.col("s").alias("s2")), "c").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("s") * F.col("s2") * fade).cast("float").alias("s")).where(F.col("s") >= strong).groupBy("a", "b").agg(F.max("s").alias("s"))
+        gained = written(step.join(now.select("a", "b", F.col("s").alias("old")), ["a", "b"], "left").where("old is null or s > old + 1e-6").select("a", "b", "s"), "gain")
+        if gained.isEmpty():
+            return now
+        news, now = gained, written(now.unionByName(gained).groupBy("a", "b").agg(F.max("s").alias("s")), "sims")
+
 
+def linked_classes(observations: DataFrame, least: float = 0.72, fade: float = 1.0, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(members, links): the class of each observation (id, source, doi, arxiv, p, self, c) and the pairs of classes (a, b, s), a < b.
 
-def linked_records(observations: DataFrame, least: float = 0.72, strong: float = 0.72, fade: float = 1.0, block: int = BLOCK) -> DataFrame:
+    Copies cost one node: only one of those equal in all that is compared is matched.
+    """
+    title, people = F.size("tokens") > 0, F.contains("names", F.lit("|"))
+    own = 0.6 + 0.3 * F.when(F.col("names") != "", 1.0).otherwise(0.45) + 0.1 * F.when(F.col("year").isNotNull() | F.col("day").isNotNull(), 1.0).otherwise(0.7)
+    made = records(observations).withColumn("n", F.monotonically_increasing_id()).withColumn("p", F.xxhash64(F.array_join("tokens", " "), "mark", "names", F.coalesce("year", F.lit(-9999)), F.coalesce("day", F.lit(-9999999))))
+    # Without a title only several authors and a day tell a work; other records match nothing.
+    nodes = written(made.withColumn("telling", title | people & F.col("day").isNotNull()).withColumn("self", F.when(title, own).otherwise(0.75)), "nodes")
+    total = nodes.count()
+    telling = nodes.where("telling")
+    first = telling.groupBy("p").agg(F.min("n").alias("n"))
+    live = telling.join(first.select("n").hint("shuffle_hash"), "n", "left_semi")
+    kept = candidate_edges(live, total, least, block)
+    label = classes(nodes, total)
+    named = lambda e: label.toDF(e, f"c{e}")
+    among = kept.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"), "s").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "s")
+    links = propagated(among, least, fade)
+    members = nodes.select("n", "id", "source", "doi", "arxiv", "p", "self").join(label.hint("shuffle_hash"), "n", "left").select("id", "source", "doi", "arxiv", "p", "self", F.coalesce("c", "n").alias("c"))
+    return members, links
+
+
+def linked_records(observations: DataFrame, least: float = 0.72, fade: float = 1.0, block: int = BLOCK) -> DataFrame:
     """(observation_id_a, observation_id_b, confidence) for pairs of different sources that share no DOI and no arXiv id.
 
     Records with one DOI or arXiv id are joined beforehand, if their titles bear the
@@ -442,30 +593,22 @@ def linked_records(observations: DataFrame, least: float = 0.72, strong: float =
     but are no result themselves. Rows without an observation_id give nothing; null
     sources differ from none; unreadable or null author lists and junk titles count
     as absent, and a pair is then judged by what is left. Whole repeated rows give
-    each pair once, empty tables none.
+    each pair once, empty tables none; of an id with several different rows all count.
+
+    Pairs of classes are spread to their members only where source and identifiers
+    differ, which is told by the distinct combinations of these first.
     """
-    # Records go by numbers of eight bytes from here on; the ids come back at the end. Of the copies of a row only one gets links.
-    nodes = written(records(observations).withColumn("n", F.monotonically_increasing_id()), "nodes")
-    first = nodes.groupBy("id").agg(F.min("n").alias("first"), F.count("*").alias("c")).where("c > 1")
-    copies = written(nodes.select("id", "n").join(first, "id").where("n > first").select("n"), "copies")
-    live = nodes.join(copies, "n", "left_anti")
-    pairs = candidate_pairs(live, block)
-    side = lambda e: nodes.select(F.col("n").alias(e), F.col("tokens").alias(f"t{e}"), F.col("mark").alias(f"m{e}"), F.col("names").alias(f"n{e}"), F.col("year").alias(f"y{e}"), F.col("day").alias(f"d{e}"))
-    both = pairs.join(side("a").hint("shuffle_hash"), "a").join(side("b").hint("shuffle_hash"), "b").where("ma = mb")
-    # Titles that don't share two fifths of the shorter one's words exactly are none of one work; junk titles are judged by the rest.
-    both = both.where((F.size("ta") == 0) | (F.size("tb") == 0) | (F.size(F.array_intersect("ta", "tb")) >= 0.4 * F.least(F.size("ta"), F.size("tb"))))
-    scored = both.select("a", "b", F.array_join("ta", " "), F.array_join("tb", " "), "na", "nb", "ya", "yb", "da", "db").mapInArrow(_scored, "a bigint, b bigint, s float")
-    identity = None
-    for c in ("doi", "arxiv"):
-        first = live.where(F.col(c).isNotNull()).groupBy(c, "mark").agg(F.min("n").alias("a"), F.count("*").alias("c")).where("c > 1")
-        one = live.select("n", c, "mark").join(first.select(c, "mark", "a"), [c, "mark"]).where("n > a").select("a", F.col("n").alias("b"), F.lit(1.0).cast("float").alias("s"))
-        identity = one if identity is None else identity.unionByName(one)
-    sims = propagated(written(scored, "scored").unionByName(identity), strong, fade)
-    removed(pairs)
-    known = nodes.select("n", "id", "source", "doi", "arxiv")
-    found = sims.where(F.col("s") >= least).join(known.toDF("a", "ia", "sa", "da", "xa").hint("shuffle_hash"), "a").join(known.toDF("b", "ib", "sb", "db", "xb").hint("shuffle_hash"), "b")
+    members, links = linked_classes(observations, least, fade, block)
+    members = written(members.withColumn("sub", F.xxhash64("c", *[F.coalesce(c, F.lit("\0")) for c in ("source", "doi", "arxiv")])), "members")
+    subs = written(members.select("c", "sub", "source", "doi", "arxiv").distinct(), "subs")
+    within = subs.groupBy("c").agg(F.count("*").alias("k")).where("k > 1").select(F.col("c").alias("a"), F.col("c").alias("b"), F.lit(None).cast("float").alias("s"))
+    side = lambda e: subs.toDF(e, f"sub{e}", f"s{e}", f"d{e}", f"x{e}")
+    both = links.unionByName(within).join(side("a").hint("shuffle_hash"), "a").join(side("b").hint("shuffle_hash"), "b").where("a <> b or suba < subb")
     apart = (F.col("sa") != F.col("sb")) & F.coalesce(F.col("da") != F.col("db"), F.lit(True)) & F.coalesce(F.col("xa") != F.col("xb"), F.lit(True))
-    return found.where(apart).select(F.least("ia", "ib").alias("observation_id_a"), F.greatest("ia", "ib").alias("observation_id_b"), F.round(F.col("s").cast("double"), 4).alias("confidence"))
+    one = lambda e: members.select(F.col("sub").alias(f"sub{e}"), F.col("id").alias(f"i{e}"), F.col("p").alias(f"p{e}"), F.col("self").alias(f"self{e}"))
+    found = both.where(apart).select("suba", "subb", "s").join(one("a"), "suba").join(one("b"), "subb").where("ia <> ib")
+    sure = F.coalesce(F.col("s").cast("double"), F.when(F.col("pa") == F.col("pb"), F.col("selfa")).otherwise(F.lit(1.0)))
+    return found.groupBy(F.least("ia", "ib").alias("observation_id_a"), F.greatest("ia", "ib").alias("observation_id_b")).agg(F.round(F.max(sure), 4).alias("confidence"))
 
 
 _COLUMNS = ("observation_id", "source_name", "normalized_doi", "normalized_arxiv_id", "title", "publication_year", "publication_date", "raw_authors")
@@ -476,6 +619,25 @@ def p7_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_records(table(spark, sf_dir, "source_work_observations", *_COLUMNS))
 
 
+def p7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(class_a, class_b, confidence): the pairs of classes; with p7_members the same result without writing out copies."""
+    members, links = linked_classes(table(spark, sf_dir, "source_work_observations", *_COLUMNS))
+    return _named(members, links)[1]
+
+
+def p7_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(observation_id, class_id) of each observation; a class is named by its least observation_id."""
+    members, links = linked_classes(table(spark, sf_dir, "source_work_observations", *_COLUMNS))
+    return _named(members, links)[0]
+
+
+def _named(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    names = members.groupBy("c").agg(F.min("id").alias("class_id"))
+    of = lambda e: names.toDF(e, f"class_{e}")
+    pairs = links.join(of("a"), "a").join(of("b"), "b").select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b"), F.round(F.col("s").cast("double"), 4).alias("confidence"))
+    return members.join(names, "c").select(F.col("id").alias("observation_id"), "class_id").distinct(), pairs
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(observation_id_a, observation_id_b) of every matched pair; see linked_records()."""
     return p7_pairs(spark, sf_dir).select("observation_id_a", "observation_id_b")

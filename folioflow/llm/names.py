@@ -177,14 +177,14 @@ def profiles(spellings: DataFrame) -> DataFrame:
     return voted.groupBy("id", one.alias("p")).agg(F.count("*").alias("c")).groupBy("id").agg(F.max(F.struct("c", "p")).alias("m")).select("id", "m.p.*")
 
 
-def _slipped(word):
+def slipped(word):
     """A word and all forms of it with one letter left out: words one slip apart have one of these in common."""
     return F.concat(F.array(word), F.transform(F.sequence(F.lit(1), F.char_length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.char_length(word)))))
 
 
-def _slipped_twice(word):
+def slipped_twice(word):
     """A word and all forms of it with one or two letters left out: words two slips apart have one of these in common."""
-    return F.array_distinct(F.flatten(F.transform(_slipped(word), _slipped)))
+    return F.array_distinct(F.flatten(F.transform(slipped(word), slipped)))
 
 
 def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = BLOCK) -> DataFrame:
@@ -204,7 +204,7 @@ def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = B
         *[F.concat(F.lit("$|"), F.expr("right(w, greatest(2, cast(floor(char_length(w) / 2) as int)) - %d)" % d)) for d in (0, 1)],
     )).alias("key"), size.alias("n")).distinct()
     wide = anchors.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > block).select("key")
-    narrowed = anchors.join(wide, "key", "left_semi").select("w", "key", "n", F.explode(_slipped_twice(F.col("w"))).alias("form")).select("w", F.concat_ws("|", "key", "form").alias("key"), "n")
+    narrowed = anchors.join(wide, "key", "left_semi").select("w", "key", "n", F.explode(slipped_twice(F.col("w"))).alias("form")).select("w", F.concat_ws("|", "key", "form").alias("key"), "n")
     anchors = written(anchors.join(wide, "key", "left_anti").select("w", "key", "n").unionByName(narrowed), "anchors")
     pairs = anchors.join(anchors.toDF("v", "key", "m"), "key").where((F.col("w") < F.col("v")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select("w", "v").distinct()
     pairs = pairs.where(F.levenshtein("w", "v", 2) >= 0)
@@ -353,8 +353,8 @@ def name_clusters(spellings: DataFrame, least: float = 0.5, block: int = BLOCK)
             pets[x] = f"{pets[x]} {k}" if x in pets else k
     table_of = lambda d: F.create_map(*[F.lit(x) for k, v in d.items() for x in (k, v)])
     related = lambda d: F.filter(F.split(F.coalesce(F.try_element_at(table_of(d), F.col("x.given")), F.lit("")), " "), lambda w: w != "")
-    deep = lambda w: F.when(F.char_length(w) >= 5, _slipped_twice(w)).otherwise(_slipped(w))
-    of_person = F.concat(deep(F.col("x.given")), F.flatten(F.transform(F.concat(related(PET_NAMES), related(pets)), _slipped)))
+    deep = lambda w: F.when(F.char_length(w) >= 5, slipped_twice(w)).otherwise(slipped(w))
+    of_person = F.concat(deep(F.col("x.given")), F.flatten(F.transform(F.concat(related(PET_NAMES), related(pets)), slipped)))
     of_body = F.flatten(F.transform(F.split("x.given", " "), deep))
     forms = F.array_distinct(F.when(F.col("x.body"), of_body).otherwise(of_person))
     crowded = placed.join(wide, ["block", "start"], "left_semi")
