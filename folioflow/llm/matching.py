@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ from folioflow.operators.common import HOT_SHARE, removed, spread_join, table, w
 
 #: Records of one key that a task compares pair by pair; those of larger keys are split first. It changes cost, not results.
 BLOCK = 256
-#: What two titles must have in common, as a share of the shorter one's words, to be compared; more without a common family.
-SHARE, SHARE_ALONE = 0.4, 0.6
+#: What two titles must have in common, as a share of the shorter one's words, to be compared; more without a common family, or without any common word in the names of their authors.
+SHARE, SHARE_ALONE, SHARE_APART = 0.4, 0.6, 0.7
 #: Small words of titles, and what stands for a missing title.
 SMALL = frozenset("a an the of on in for from to and or with by at as is are how their its towards toward via using".split())
 JUNK = frozenset(("", "na", "n a", "none", "null", "untitled", "unknown", "title", "no title", "tbd", "test"))
@@ -145,45 +146,162 @@ def family(name: str) -> str:
     return max(name.split(" "), key=lambda w: (len(w), w))
 
 
-_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("tokens", pa.list_(pa.string())), ("mark", pa.string()), ("names", pa.string()), ("families", pa.list_(pa.string()))])
-_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, tokens array<string>, mark string, names string, families array<string>"
+@lru_cache(maxsize=1 << 18)
+def _hash(tag: str, word: str) -> int:
+    return xxhash.xxh3_64_intdigest(tag + word) - (1 << 63)
+
+
+_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64()))])
+_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, t string, mark string, names string, words array<bigint>, families array<bigint>"
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         titles = [title_parts(t) for t in batch.column(6).to_pylist()]
         names = [author_names(a) for a in batch.column(7).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([t for t, _ in titles], pa.list_(pa.string())), pa.array([m for _, m in titles]), pa.array(["|".join(x) for x in names]), pa.array([list(dict.fromkeys(family(y) for y in x)) for x in names], pa.list_(pa.string()))], schema=_NODES)
+        words = [list(dict.fromkeys([_hash("w", w) for w in t])) for t, _ in titles]
+        families = [list(dict.fromkeys([_hash("f", family(x)) for x in each])) for each in names]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64()))], schema=_NODES)
 
 
 def records(observations: DataFrame) -> DataFrame:
-    """The nodes of the graph, one for each observation row: identifiers as compared, title words, mark, author names."""
+    """The nodes of the graph, one for each observation row: identifiers as compared, title words, mark, author names.
+
+    words and families are the hashes of the distinct title words and families of authors, in order.
+    """
     o = observations.where("observation_id is not null").select(F.col("observation_id").alias("id"), F.col("source_name").alias("source"), id_key(F.col("normalized_doi")).alias("doi"), id_key(F.col("normalized_arxiv_id")).alias("arxiv"), F.col("publication_year").cast("int").alias("year"), F.datediff("publication_date", F.lit("1970-01-01").cast("date")).alias("day"), "title", "raw_authors")
     return o.mapInArrow(_prepared, _NODES_DDL)
 
 
 # --- candidates -------------------------------------------------------------------------
 
-#: What a key is made of: a title word and a family, two title words, a whole title, or the first family and the day.
-WORD_FAMILY, WORDS, TITLE, FAMILY_DAY = range(4)
-_ROW = "key bigint, n bigint, sig bigint, own bigint, size byte, rule byte"
-_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sig", pa.int64()), ("own", pa.int64()), ("size", pa.int8()), ("rule", pa.int8())])
-_MET_DDL = "a bigint, b bigint, key bigint, sig bigint, own bigint, size byte, rule byte"
-_AT_ONCE = 1 << 20
+#: How many counters tell how frequent words are: those of one counter count together, which keeps the order of words the same for all nodes.
+COUNTERS = 1 << 18
+#: What a key is made of: a title word and a family, two title words, a whole title, the first family and the day, or a word of a long title.
+WORD_FAMILY, WORDS, TITLE, FAMILY_DAY, WORD = range(5)
+#: Titles of more words meet over single ones; those from LONG on do so too.
+LONG, LONGEST = 14, 26
+#: Words of a title whose fingerprints a row of a key bears.
+PRINTS = 8
+_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
+_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, own bigint, size smallint, more smallint, rule byte"
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), *list(_ROW)[:1], *list(_ROW)[2:]])
+_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, own bigint, size smallint, more smallint, rule byte"
+_SIDE = ("p1", "p2", "own", "size", "more")
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def _key(rule: int, x: np.ndarray, y: np.ndarray | int = 0) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(_mixed(x + np.uint64(rule)) + np.asarray(y, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def attributes(shared):
+    """(n, words, families, day, several) into the keys over which nodes meet, as rows of _ROW.
+
+    Words rank from the rarest to the most frequent, ties by hash, so all nodes have their
+    common words in one order. By prefix filtering, two titles that have `share` of the
+    longer one's words in common have one among the first size - ceil(share * size) + 1 of
+    each, and two among one more. So titles with half of their words and a family in
+    common meet over one rare word and the family, those with SHARE_ALONE of their words
+    over two rare words, equal ones over the whole title, long ones over single words, and
+    records without a title over the first family and the day.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        held = lambda h: counts[(h.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64)]
+        for big in batches:
+            for start in range(0, big.num_rows, 4096):
+                batch = big.slice(start, 4096)
+                n = batch.column(0).to_numpy()
+                flat = lambda c: (c.flatten().to_numpy().astype(np.int64), np.diff(c.offsets.to_numpy()).astype(np.int64))
+                words, size = flat(batch.column(1))
+                families, fsize = flat(batch.column(2))
+                rows = np.arange(len(n))
+                # one row of ranked words for each node; words that no other node has rank last and are left out
+                width = int(max(size.max(initial=0), PRINTS))
+                at, place = np.repeat(rows, size), np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
+                rank = np.full((len(n), width), np.uint64(2**64 - 1))
+                c = held(words)
+                rank[at, place] = np.where(c > 1, (np.minimum(c, 2**31 - 1).astype(np.uint64) << np.uint64(32)) | (words.view(np.uint64) >> np.uint64(32)), np.uint64(2**64 - 1))
+                order = np.argsort(rank, axis=1, kind="stable")
+                w = np.zeros((len(n), width), dtype=np.uint64)
+                w[at, place] = words.view(np.uint64)
+                w = np.take_along_axis(w, order, axis=1)
+                known = np.bincount(at[c > 1], minlength=len(n))
+                valid = np.arange(PRINTS) < np.minimum(known, PRINTS)[:, None]
+                prints = np.where(valid, np.maximum(_mixed(w[:, :PRINTS]) >> np.uint64(48), np.uint64(1)), np.uint64(0)).astype(np.uint16)
+                p = np.ascontiguousarray(prints).view(np.int64)
+                fat = np.repeat(rows, fsize)
+                own = np.zeros(len(n), dtype=np.uint64)
+                np.bitwise_or.at(own, fat, np.uint64(1) << (families.view(np.uint64) & np.uint64(63)))
+                prefix = lambda share, least: np.minimum(known, np.maximum(least, size - np.ceil(share * size - 1e-9).astype(np.int64) + least))
+                short = size <= LONGEST
+                half, most = prefix(0.5, 1), prefix(SHARE_ALONE, 2)
+                keys, of, rules = [], [], []
+
+                def put(rule: int, key: np.ndarray, node: np.ndarray) -> None:
+                    keys.append(key)
+                    of.append(node)
+                    rules.append(np.full(len(key), rule, dtype=np.int8))
+
+                shown = held(families) > 1
+                fam, fat = families.view(np.uint64)[shown], fat[shown]
+                for j in range(int(half[short].max(initial=0))):
+                    ok = short[fat] & (half[fat] > j)
+                    put(WORD_FAMILY, _key(WORD_FAMILY, w[fat[ok], j], fam[ok]), fat[ok])
+                for j in range(1, int(most[short].max(initial=0))):
+                    ok = np.flatnonzero(short & (most > j))
+                    for i in range(j):
+                        put(WORDS, _key(WORDS, w[ok, i], w[ok, j]), ok)
+                for j in range(int(half[size >= LONG].max(initial=0))):
+                    ok = np.flatnonzero((size >= LONG) & (half > j))
+                    put(WORD, _key(WORD, w[ok, j]), ok)
+                with np.errstate(over="ignore"):
+                    whole = np.zeros(len(n), dtype=np.uint64)
+                    np.add.at(whole, at, _mixed(words.view(np.uint64)))
+                ok = np.flatnonzero(size > 0)
+                put(TITLE, _key(TITLE, whole[ok], size[ok]), ok)
+                day, several = batch.column(3), batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
+                ok = np.flatnonzero(day.is_valid().to_numpy(zero_copy_only=False) & several & (fsize > 0))
+                first = families.view(np.uint64)[(np.cumsum(fsize) - fsize)[ok]]
+                put(FAMILY_DAY, _key(FAMILY_DAY, first, day.fill_null(0).to_numpy()[ok].astype(np.int64).view(np.uint64)), ok)
+                of_ = np.concatenate(of)
+                limit = lambda x: np.minimum(x, 2**15 - 1).astype(np.int16)
+                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, _ROW)], schema=_ROW)
 
-def _possible(sig_a, sig_b, own_a, own_b, size_a, size_b, rule) -> np.ndarray:
-    """Whether two titles may have enough words in common, by their signatures.
+    return run
 
-    A signature has a bit for each word, so a word whose bit the other lacks is none of
-    its words: the bound is never below the number of common words.
+
+def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.ndarray:
+    """Whether titles may have enough words in common, by fingerprints; x and y hold the columns of _SIDE.
+
+    Equal words have equal fingerprints and words without one count as common, so the
+    bound is never below the number of common words.
     """
-    common = np.minimum(size_a - np.bitwise_count(sig_a & ~sig_b), size_b - np.bitwise_count(sig_b & ~sig_a))
+    (a1, a2, own_a, size_a, more_a), (b1, b2, own_b, size_b, more_b) = x, y
+    prints = lambda p, q: np.stack([p, q], 1).view(np.uint16)
+    a, b = prints(a1, a2), prints(b1, b2)
+    common = more_a.astype(np.int32) + more_b
+    for k in range(PRINTS):
+        one = a[:, k]
+        common += (b == one[:, None]).any(1) & (one != 0)
     alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
     short = np.minimum(size_a, size_b)
     return (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
 
 
+_AT_ONCE = 1 << 17
+
+
 def _met(block: int):
     """Rows of _ROW sorted by key into the possible pairs (a, b) of each key of up to `block` rows.
 
@@ -199,7 +317,6 @@ def _met(block: int):
                 now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
                 if not len(now[0]):
                     continue
-                now[2:4] = [c.view(np.uint64) for c in now[2:4]]  # as bits: numpy counts those of a signed number's absolute value
                 cols = [np.concatenate(x) for x in zip(held, now)] if held else now
             else:
                 cols = held
@@ -208,7 +325,6 @@ def _met(block: int):
             key = cols[0]
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             ends = np.append(starts[1:], len(key))
-            going_hot = False
             if batch is not None:  # the last key may go on
                 keep = [c[starts[-1] :] for c in cols]
                 going_hot = len(keep[0]) > block or hot == key[-1]
@@ -227,20 +343,19 @@ def _met(block: int):
                 for k in range(0, len(of_size), step):
                     at = of_size[k : k + step]
                     x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    ok = _possible(cols[2][x], cols[2][y], cols[3][x], cols[3][y], cols[4][x], cols[4][y], cols[5][x])
+                    ok = _possible([c[x] for c in cols[2:7]], [c[y] for c in cols[2:7]], cols[7][x])
                     a, b = cols[1][x[ok]], cols[1][y[ok]]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
             if rest:
                 hot = key[rest[-1][0]]
             pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-            pairs = np.unique(pairs, axis=0) if 1 < len(pairs) < 1 << 18 else pairs
             for k in range(0, len(pairs), 1 << 16):
                 one = pairs[k : k + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
             if rest:
                 rows = np.concatenate(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows].view(np.int64) if c in (2, 3) else cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5), list(_MET)[2:]))], schema=_MET)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5, 6, 7), list(_MET)[2:]))], schema=_MET)
 
     return run
 
@@ -250,14 +365,14 @@ def _and_none(batches):
     yield None
 
 
-def _may_match(a: str, b: str) -> Column:
-    """_possible() for columns of a join, whose names end in a and b."""
-    c = lambda name, side: F.col(f"{name}{side}")
-    lacks = lambda x, y: F.bit_count(c("sig", x).bitwiseAND(F.bitwise_not(c("sig", y))))
-    common = F.least(c("size", a) - lacks(a, b), c("size", b) - lacks(b, a))
-    alone = (F.col("rule") == WORDS) & (c("own", a) != 0) & (c("own", b) != 0) & (c("own", a).bitwiseAND(c("own", b)) == 0)
-    short = F.least(c("size", a), c("size", b))
-    return (common >= F.when(alone, SHARE_ALONE).otherwise(SHARE) * short - 1e-9) & ((F.col("rule") != FAMILY_DAY) | (short == 0))
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rule, nx, ny, columns of _SIDE of x, of y) into the possible pairs (a, b)."""
+    for batch in batches:
+        c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+        for k in range(0, len(c[0]), _AT_ONCE):
+            d = [x[k : k + _AT_ONCE] for x in c]
+            ok = _possible(d[3:8], d[8:13], d[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[1], d[2])[ok]), pa.array(np.maximum(d[1], d[2])[ok])], names=["a", "b"])
 
 
 def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFrame:
@@ -267,11 +382,11 @@ def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFr
     """
     chunk = lambda rows: rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("k")), "key").withColumn("c", F.pmod(F.xxhash64("n"), F.col("k")).cast("int"))
     x, y = chunk(left), chunk(right)
-    counts = y.groupBy("key").agg(F.max("k").alias("other"))
-    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", "sig", "own", "size")])
-    one = side(x.join(counts, "key").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other") - 1))), "x", [F.col("c").alias("i"), "j"])
+    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", *_SIDE)])
+    one = side(x.join(y.groupBy("key").agg(F.max("k").alias("other")), "key").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other") - 1))), "x", [F.col("c").alias("i"), "j"])
     two = side(y.join(x.groupBy("key").agg(F.max("k").alias("mine")), "key").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("mine") - 1))), "y", ["i", F.col("c").alias("j")])
-    return one.join(two.drop("rule"), ["key", "i", "j"]).where(F.col("nx") < F.col("ny") if same else F.col("nx") != F.col("ny")).where(_may_match("x", "y")).select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b"))
+    both = one.join(two.drop("rule"), ["key", "i", "j"]).where(F.col("nx") < F.col("ny") if same else F.col("nx") != F.col("ny"))
+    return both.select("rule", "nx", "ny", *[f"{c}x" for c in _SIDE], *[f"{c}y" for c in _SIDE]).mapInArrow(_crossed, "a bigint, b bigint")
 
 
 def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -284,18 +399,17 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     compared in tasks of block times block rows, so none gets a hot key whole.
     """
     cut = lambda rows: written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met(block), _MET_DDL), "met")
+    hot_of = lambda met: met.where("key is not null").select("key", F.col("a").alias("n"), *_SIDE, "rule")
     met = cut(keys)
-    tables, pairs = [met], met.where("key is null").select("a", "b")
-    hot = met.where("key is not null").select("key", F.col("a").alias("n"), "sig", "own", "size", "rule")
+    tables, pairs, hot = [met], met.where("key is null").select("a", "b"), hot_of(met)
     if hot.isEmpty():
         return pairs, tables
     word = F.explode(F.array_distinct(F.split(F.regexp_replace("names", r"\|", " "), " "))).alias("word")
     deep = F.when(F.char_length("word") >= 7, slipped_twice(F.col("word"))).when(F.char_length("word") >= 5, slipped(F.col("word"))).otherwise(F.array("word"))
-    named = hot.join(nodes.where("names <> ''").select("n", "names"), "n").select(hot.columns + [word]).select("key", "n", "sig", "own", "size", "rule", F.explode(deep).alias("form")).select(F.xxhash64("key", "form").alias("key"), "n", "sig", "own", "size", "rule").distinct()
+    named = hot.join(nodes.where("names <> ''").select("n", "names"), "n").select(hot.columns + [word]).select(*hot.columns, F.explode(deep).alias("form")).withColumn("key", F.xxhash64("key", "form")).drop("form").distinct()
     again = cut(named)
     tables.append(again)
-    pairs = pairs.unionByName(again.where("key is null").select("a", "b"))
-    still = again.where("key is not null").select("key", F.col("a").alias("n"), "sig", "own", "size", "rule")
+    pairs, still = pairs.unionByName(again.where("key is null").select("a", "b")), hot_of(again)
     if not still.isEmpty():
         pairs = pairs.unionByName(_all_of(still, still, block, True))
     lone = hot.join(nodes.where("names = ''").select("n"), "n", "left_semi").select(hot.columns)
@@ -304,55 +418,6 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     return pairs, tables
 
 
-def ranked(nodes: DataFrame, total: int) -> DataFrame:
-    """(n, counts, fcounts, ws, fs): how many nodes have each distinct title word and family of a node.
-
-    counts and fcounts stand in the order of the words and families; ws and fs are the
-    hashes of those that another node has too, rarest first, with ties by hash, so that
-    all nodes have their common words in the same order. Words that more than one node in
-    HOT_SHARE has are joined by broadcast (see spread_join).
-    """
-    hashed = lambda tag, c: F.transform(c, lambda t: F.xxhash64(F.lit(tag), t))
-    n_words = F.size(F.array_distinct("tokens"))
-    items = nodes.select("n", n_words.alias("nw"), F.posexplode(F.concat(hashed("w", F.array_distinct("tokens")), hashed("f", F.col("families")))).alias("pos", "h"))
-    held = written(items.groupBy("h").agg(F.count("*").cast("int").alias("c")), "held")
-    hot = held.where(F.col("c") > max(1000, total // HOT_SHARE)).select("h")
-    one = F.array_sort(F.collect_list(F.struct("pos", "c", "h", (F.col("pos") < F.col("nw")).alias("word"))))
-    by = spread_join(items, held, "h", hot).groupBy("n").agg(one.alias("x"))
-    of = lambda word: F.filter("x", lambda e: e["word"] == F.lit(word))
-    rare = lambda word: F.transform(F.array_sort(F.transform(F.filter(of(word), lambda e: e["c"] > 1), lambda e: F.struct(e["c"].alias("c"), e["h"].alias("h")))), lambda e: e["h"])
-    counts = lambda word: F.transform(of(word), lambda e: e["c"])
-    every = F.transform(of(True), lambda e: e["h"])
-    return by.select("n", counts(True).alias("counts"), counts(False).alias("fcounts"), rare(True).alias("ws"), rare(False).alias("fs"), every.alias("every"), F.transform(of(False), lambda e: e["h"]).alias("own"))
-
-
-def attributes(nodes: DataFrame, facts: DataFrame) -> DataFrame:
-    """The keys over which nodes meet, as rows of _ROW.
-
-    By prefix filtering two titles that have `share` of the longer one's words in common
-    have one among the first size - ceil(share * size) + 1 of each, rarest first, and two
-    among one more. So titles with half of their words and a family in common meet over
-    one rare word and the family, those with SHARE_ALONE of their words over two rare
-    words, equal titles over the title, and records without a title over the first
-    family and the day.
-    """
-    bits = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))))
-    prefix = lambda share, least: F.slice("ws", 1, F.greatest(F.lit(least), F.col("size") - F.ceil(share * F.col("size") - 1e-9).cast("int") + least))
-    rows = nodes.select("n", "day", "names", "tokens", F.size(F.array_distinct("tokens")).alias("size"), F.try_element_at("families", F.lit(1)).alias("first")).join(facts.select("n", "ws", "fs", bits("every").alias("sig"), bits("own").alias("own")).hint("shuffle_hash"), "n", "left")
-    none = F.array().cast("array<bigint>")
-    rows = rows.select("n", "day", "names", "first", "size", "tokens", F.coalesce("ws", none).alias("ws"), F.coalesce("fs", none).alias("fs"), F.coalesce("sig", F.lit(0)).cast("bigint").alias("sig"), F.coalesce("own", F.lit(0)).cast("bigint").alias("own"))
-    rows = rows.withColumn("half", prefix(0.5, 1)).withColumn("most", prefix(SHARE_ALONE, 2))
-    key = lambda rule, *c: F.struct(F.xxhash64(F.lit(rule), *c).alias("key"), F.lit(rule).cast("byte").alias("rule"))
-    nothing = F.array().cast("array<struct<key:bigint,rule:tinyint>>")
-    every = F.concat(
-        F.flatten(F.transform("half", lambda w: F.transform("fs", lambda f: key(WORD_FAMILY, w, f)))),
-        F.flatten(F.transform("most", lambda w, i: F.transform(F.slice("most", i + 2, F.size("most")), lambda v: key(WORDS, w, v)))),
-        F.when(F.col("size") > 0, F.array(key(TITLE, F.array_join(F.array_sort("tokens"), " ")))).otherwise(nothing),
-        F.when(F.col("day").isNotNull() & F.contains("names", F.lit("|")), F.array(key(FAMILY_DAY, F.col("first"), F.col("day")))).otherwise(nothing),
-    )
-    return rows.select("n", "sig", "own", F.least("size", F.lit(127)).cast("byte").alias("size"), F.explode(every).alias("k")).select("k.key", "n", "sig", "own", "size", "k.rule")
-
-
 @lru_cache(maxsize=1 << 16)
 def _letters(word: str) -> frozenset:
     return frozenset(word)
@@ -450,31 +515,49 @@ def confidence(x: dict, y: dict, least: float = 0.0) -> float:
     return 0.6 * title + 0.3 * people + 0.1 * time
 
 
+@lru_cache(maxsize=1 << 14)
+def _title(t: str) -> tuple[list[str], frozenset]:
+    tokens = t.split()
+    return tokens, frozenset(tokens)
+
+
+@lru_cache(maxsize=1 << 14)
+def _people(names: str) -> tuple[list[str], frozenset, frozenset]:
+    each = names.split("|") if names else []
+    return each, frozenset(names.replace("|", " ").split()), frozenset(map(family, each))
+
+
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("s", pa.float32())])
 
 
-def _scored(total: int, least: float):
+def _scored(shared, total: int, least: float):
     """Pairs with their texts into edges (a, b, weight, similarity); those with too few words in common are none.
 
-    An edge weighs the sum of log(all / holders) over the words and families both ends have.
+    Titles have SHARE of the shorter one's words in common, or SHARE_APART if the authors
+    of both are known and have no word of a name in common. An edge weighs the sum of
+    log(all / holders) over the words and families both ends have.
     """
     log_total = math.log(max(2, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+
+        @lru_cache(maxsize=1 << 18)
+        def weight(tag: str, word: str) -> float:
+            return log_total - math.log(max(1, int(counts[(_hash(tag, word) % (1 << 64)) % COUNTERS])))
+
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for a, b, tx, ty, nx, ny, yx, yy, dx, dy, counts, fcounts in zip(*(c.to_pylist() for c in batch.columns)):
-                p, q = tx.split(), ty.split()
-                both = set(p).intersection(q)
-                if p and q and len(both) < SHARE * min(len(set(p)), len(set(q))) - 1e-9:
-                    continue
-                x = {"tokens": p, "names": nx.split("|") if nx else [], "year": yx, "day": dx}
-                y = {"tokens": q, "names": ny.split("|") if ny else [], "year": yy, "day": dy}
-                w = sum(log_total - math.log(c) for t, c in zip(dict.fromkeys(p), counts or ()) if t in both)
-                if fcounts and ny:
-                    theirs = {family(f) for f in y["names"]}
-                    w += sum(log_total - math.log(c) for f, c in zip(dict.fromkeys(map(family, x["names"])), fcounts) if f in theirs)
-                s = confidence(x, y, least)
+            for a, b, tx, ty, nx, ny, yx, yy, dx, dy in zip(*(c.to_pylist() for c in batch.columns)):
+                (p, ps), (q, qs) = _title(tx), _title(ty)
+                (np_, nps, fp), (nq, nqs, fq) = _people(nx), _people(ny)
+                both = ps & qs
+                if p and q:
+                    share = SHARE if not (nx and ny) or not nps.isdisjoint(nqs) else SHARE_APART
+                    if len(both) < share * min(len(ps), len(qs)) - 1e-9:
+                        continue
+                w = sum([weight("w", t) for t in both]) + sum([weight("f", t) for t in fp & fq])
+                s = confidence({"tokens": p, "names": np_, "year": yx, "day": dx}, {"tokens": q, "names": nq, "year": yy, "day": dy}, least)
                 for c, v in zip(out, (a, b, w, s if s >= least else 0.0)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _EDGE)], schema=_EDGE)
@@ -482,21 +565,24 @@ def _scored(total: int, least: float):
     return run
 
 
-def candidate_edges(nodes: DataFrame, total: int, least: float, block: int = BLOCK, keep: float = 0.45) -> DataFrame:
+def candidate_edges(nodes: DataFrame, live: DataFrame, total: int, least: float, block: int = BLOCK, keep: float = 0.45) -> DataFrame:
     """(a, b, s), a < b: the edges of the candidate graph with a similarity of `least` or more that meta-blocking keeps.
 
     An edge is kept if it has at least `keep` of the weight of the heaviest edge at one of
-    its ends. nodes has n, tokens, mark, names, families, year and day; ends with another
-    mark are no edge.
+    its ends. live has the nodes that are matched (n, words, families, day, several), nodes
+    the texts of these and others; ends with another mark are no edge.
     """
-    facts = written(ranked(nodes, total), "facts")
-    pairs, tables = met_pairs(attributes(nodes, facts), nodes, block)
-    pairs = pairs.distinct()
-    own = nodes.select("n", F.array_join("tokens", " ").alias("t"), "mark", "names", "year", "day")
-    first = own.join(facts.select("n", "counts", "fcounts").hint("shuffle_hash"), "n", "left").toDF("a", "ta", "ma", "na", "ya", "da", "counts", "fcounts")
-    both = pairs.join(first.hint("shuffle_hash"), "a").join(own.toDF("b", "tb", "mb", "nb", "yb", "db").hint("shuffle_hash"), "b").where("ma = mb")
-    edges = written(both.select("a", "b", "ta", "tb", "na", "nb", "ya", "yb", "da", "db", "counts", "fcounts").mapInArrow(_scored(total, least), "a bigint, b bigint, w float, s float"), "edges")
-    for t in (facts, *tables):
+    spark = nodes.sparkSession
+    counted = live.select(F.explode(F.concat("words", "families")).alias("h")).groupBy(_counter(F.col("h")).alias("k")).agg(F.count("*").alias("c")).toArrow()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[counted.column("k").to_numpy()] = counted.column("c").to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+    pairs, tables = met_pairs(live.select("n", "words", "families", "day", "several").mapInArrow(attributes(shared), _ROW_DDL), nodes, block)
+    own = nodes.select("n", "t", "mark", "names", "year", "day")
+    side = lambda e: own.toDF(e, f"t{e}", f"m{e}", f"n{e}", f"y{e}", f"d{e}").hint("shuffle_hash")
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where("ma = mb")
+    edges = written(both.select("a", "b", "ta", "tb", "na", "nb", "ya", "yb", "da", "db").mapInArrow(_scored(shared, total, least), "a bigint, b bigint, w float, s float"), "edges")
+    for t in tables:
         removed(t)
     top = edges.select(F.explode(F.array("a", "b")).alias("n"), "w").groupBy("n").agg((F.max("w") * keep).alias("least"))
     sure = edges.where(F.col("s") >= least)
@@ -505,6 +591,11 @@ def candidate_edges(nodes: DataFrame, total: int, least: float, block: int = BLO
     return kept
 
 
+def _counter(h: Column) -> Column:
+    """The counter of a hash, read as an unsigned number."""
+    return h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
+
+
 # --- classes and propagation ------------------------------------------------------------
 
 
@@ -567,16 +658,16 @@ def linked_classes(observations: DataFrame, least: float = 0.72, fade: float = 1
 
     Copies cost one node: only one of those equal in all that is compared is matched.
     """
-    title, people = F.size("tokens") > 0, F.contains("names", F.lit("|"))
+    title, people = F.col("t") != "", F.contains("names", F.lit("|"))
     own = 0.6 + 0.3 * F.when(F.col("names") != "", 1.0).otherwise(0.45) + 0.1 * F.when(F.col("year").isNotNull() | F.col("day").isNotNull(), 1.0).otherwise(0.7)
-    made = records(observations).withColumn("n", F.monotonically_increasing_id()).withColumn("p", F.xxhash64(F.array_join("tokens", " "), "mark", "names", F.coalesce("year", F.lit(-9999)), F.coalesce("day", F.lit(-9999999))))
+    made = records(observations).withColumn("n", F.monotonically_increasing_id()).withColumn("p", F.xxhash64("t", "mark", "names", F.coalesce("year", F.lit(-9999)), F.coalesce("day", F.lit(-9999999))))
     # Without a title only several authors and a day tell a work; other records match nothing.
     nodes = written(made.withColumn("telling", title | people & F.col("day").isNotNull()).withColumn("self", F.when(title, own).otherwise(0.75)), "nodes")
     total = nodes.count()
-    telling = nodes.where("telling")
-    first = telling.groupBy("p").agg(F.min("n").alias("n"))
-    live = telling.join(first.select("n").hint("shuffle_hash"), "n", "left_semi")
-    kept = candidate_edges(live, total, least, block)
+    telling = nodes.where("telling").select("n", "p", "words", "families", "day", people.alias("several"))
+    live = written(telling.groupBy("p").agg(F.min(F.struct("n", "words", "families", "day", "several")).alias("x")).select("x.*"), "live")
+    kept = candidate_edges(nodes, live, total, least, block)
+    removed(live)
     label = classes(nodes, total)
     named = lambda e: label.toDF(e, f"c{e}")
     among = kept.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"), "s").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "s")

@@ -166,20 +166,42 @@ def test_matching_does_not_depend_on_the_block(spark):
     assert found[0] == found[1] == found[2] and len(found[0]) > 60
 
 
-def test_signatures_never_hide_common_words():
+@pytest.mark.parametrize("sizes", [(1, 10), (10, 40), (200, 300)])
+def test_titles_with_enough_in_common_share_a_key(sizes):
     import random
 
     import numpy as np
+    import pyarrow as pa
 
     rng = random.Random(2)
-    words = [rng.getrandbits(64) for _ in range(60)]
-    sets = [set(rng.sample(words, rng.randint(1, 9))) for _ in range(200)]
-    sig = np.array([np.bitwise_or.reduce([np.uint64(1) << np.uint64(w & 63) for w in s]) for s in sets])
-    size = np.array([len(s) for s in sets], dtype=np.int8)
-    for i in range(200):
+    words = [rng.getrandbits(63) for _ in range(900)]
+    titles = [rng.sample(words, rng.randint(*sizes)) for _ in range(40)]
+    titles += [[w if rng.random() < 0.8 else rng.choice(words) for w in t] for t in titles for _ in range(2)]
+    titles = [list(dict.fromkeys(t)) for t in titles]
+    counts = np.random.default_rng(1).integers(2, 50, matching.COUNTERS)
+    families = [[7], [7, 9], [7, 9, 11]] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array(titles, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.nulls(120, pa.int32()), pa.array([False] * 120)], names=["n", "words", "families", "day", "several"])
+    shared = type("S", (), {"value": counts})
+    rows = [r for b in matching.attributes(shared)(iter([batch])) for r in b.to_pylist()]
+    keys, side = [[set() for _ in range(5)] for _ in range(120)], {}
+    for r in rows:
+        keys[r["n"]][r["rule"]].add(r["key"])
+        side[r["n"]] = [np.array([r[c]], dtype=matching._ROW.field(c).type.to_pandas_dtype()) for c in matching._SIDE]
+    seen = 0
+    for i in range(120):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= matching.SHARE * min(len(sets[i]), len(sets[j])):
-                assert matching._possible(sig[i : i + 1], sig[j : j + 1], sig[:1], sig[:1], size[i : i + 1], size[j : j + 1], np.zeros(1))[0]
+            a, b = set(titles[i]), set(titles[j])
+            rate = len(a & b) / max(len(a), len(b))
+            shares = lambda *rules: any(keys[i][r] & keys[j][r] for r in rules)
+            if rate >= 0.5:
+                seen += 1
+                assert shares(matching.WORD_FAMILY, matching.WORD)
+            if rate >= matching.SHARE_ALONE and len(a & b) > 1:
+                assert shares(matching.WORDS, matching.WORD)
+            assert (a == b) == shares(matching.TITLE)
+            if len(a & b) >= matching.SHARE * min(len(a), len(b)):
+                assert matching._possible(side[i], side[j], np.array([matching.WORD_FAMILY]))[0]
+    assert seen > 60
 
 
 def test_classes_join_by_ids_and_copies(spark):
