@@ -59,10 +59,15 @@ def folded(text: str) -> str:
     return text.lower() if text.isascii() else _COMBINING.sub("", unicodedata.normalize("NFKD", text)).lower()
 
 
+@lru_cache(maxsize=1 << 16)
+def _letters(word: str) -> frozenset:
+    return frozenset(word)
+
+
 def _slip(typed: str, word: str) -> bool:
     """Whether typed is word, also with a slip or two in a long one."""
     most = 2 if len(word) >= 8 else 1 if len(word) >= 5 else 0
-    return typed == word or most > 0 and abs(len(typed) - len(word)) <= most and distance(typed, word, most) <= most
+    return typed == word or most > 0 and abs(len(typed) - len(word)) <= most and len(_letters(typed) ^ _letters(word)) <= 2 * most and distance(typed, word, most) <= most
 
 
 @lru_cache(maxsize=1 << 16)
@@ -151,8 +156,13 @@ def _hash(tag: str, word: str) -> int:
     return xxhash.xxh3_64_intdigest(tag + word) - (1 << 63)
 
 
-_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64()))])
-_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, t string, mark string, names string, words array<bigint>, families array<bigint>"
+@lru_cache(maxsize=1 << 16)
+def _print(word: str) -> int:
+    return 1 + xxhash.xxh3_64_intdigest(word) % 255
+
+
+_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64())), ("people", pa.binary())])
+_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, t string, mark string, names string, words array<bigint>, families array<bigint>, people binary"
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +171,15 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [author_names(a) for a in batch.column(7).to_pylist()]
         words = [list(dict.fromkeys([_hash("w", w) for w in t])) for t, _ in titles]
         families = [list(dict.fromkeys([_hash("f", family(x)) for x in each])) for each in names]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64()))], schema=_NODES)
+        people = [bytes({_print(w) for x in each for w in x.split(" ")}) for each in names]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.array(people, pa.binary())], schema=_NODES)
 
 
 def records(observations: DataFrame) -> DataFrame:
     """The nodes of the graph, one for each observation row: identifiers as compared, title words, mark, author names.
 
-    words and families are the hashes of the distinct title words and families of authors, in order.
+    words and families are the hashes of the distinct title words and families of authors,
+    in order, and people the fingerprints of all words of authors' names, a byte each.
     """
     o = observations.where("observation_id is not null").select(F.col("observation_id").alias("id"), F.col("source_name").alias("source"), id_key(F.col("normalized_doi")).alias("doi"), id_key(F.col("normalized_arxiv_id")).alias("arxiv"), F.col("publication_year").cast("int").alias("year"), F.datediff("publication_date", F.lit("1970-01-01").cast("date")).alias("day"), "title", "raw_authors")
     return o.mapInArrow(_prepared, _NODES_DDL)
@@ -176,18 +188,18 @@ def records(observations: DataFrame) -> DataFrame:
 # --- candidates -------------------------------------------------------------------------
 
 #: How many counters tell how frequent words are: those of one counter count together, which keeps the order of words the same for all nodes.
-COUNTERS = 1 << 18
+COUNTERS = 1 << 19
 #: What a key is made of: a title word and a family, two title words, a whole title, the first family and the day, or a word of a long title.
 WORD_FAMILY, WORDS, TITLE, FAMILY_DAY, WORD = range(5)
 #: Titles of more words meet over single ones; those from LONG on do so too.
 LONG, LONGEST = 14, 26
-#: Words of a title whose fingerprints a row of a key bears.
-PRINTS = 8
-_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
-_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, own bigint, size smallint, more smallint, rule byte"
+#: Words of a title, and words of authors' names, whose fingerprints (of 16 and 8 bits) a row of a key bears.
+PRINTS, NAME_PRINTS = 8, 16
+_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
+_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, own bigint, size smallint, more smallint, rule byte"
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), *list(_ROW)[:1], *list(_ROW)[2:]])
-_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, own bigint, size smallint, more smallint, rule byte"
-_SIDE = ("p1", "p2", "own", "size", "more")
+_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, own bigint, size smallint, more smallint, rule byte"
+_SIDE = ("p1", "p2", "q1", "q2", "own", "size", "more")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -203,7 +215,7 @@ def _key(rule: int, x: np.ndarray, y: np.ndarray | int = 0) -> np.ndarray:
 
 
 def attributes(shared):
-    """(n, words, families, day, several) into the keys over which nodes meet, as rows of _ROW.
+    """(n, words, families, day, several, people) into the keys over which nodes meet, as rows of _ROW.
 
     Words rank from the rarest to the most frequent, ties by hash, so all nodes have their
     common words in one order. By prefix filtering, two titles that have `share` of the
@@ -239,6 +251,8 @@ def attributes(shared):
                 valid = np.arange(PRINTS) < np.minimum(known, PRINTS)[:, None]
                 prints = np.where(valid, np.maximum(_mixed(w[:, :PRINTS]) >> np.uint64(48), np.uint64(1)), np.uint64(0)).astype(np.uint16)
                 p = np.ascontiguousarray(prints).view(np.int64)
+                q = b"".join([x.ljust(NAME_PRINTS, b"\0") if len(x) <= NAME_PRINTS else bytes(NAME_PRINTS) for x in batch.column(5).to_pylist()])
+                q = np.frombuffer(q, dtype=np.int64).reshape(-1, 2)
                 fat = np.repeat(rows, fsize)
                 own = np.zeros(len(n), dtype=np.uint64)
                 np.bitwise_or.at(own, fat, np.uint64(1) << (families.view(np.uint64) & np.uint64(63)))
@@ -275,7 +289,7 @@ def attributes(shared):
                 put(FAMILY_DAY, _key(FAMILY_DAY, first, day.fill_null(0).to_numpy()[ok].astype(np.int64).view(np.uint64)), ok)
                 of_ = np.concatenate(of)
                 limit = lambda x: np.minimum(x, 2**15 - 1).astype(np.int16)
-                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
+                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], q[of_, 0], q[of_, 1], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, _ROW)], schema=_ROW)
 
     return run
@@ -285,18 +299,33 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
     """Whether titles may have enough words in common, by fingerprints; x and y hold the columns of _SIDE.
 
     Equal words have equal fingerprints and words without one count as common, so the
-    bound is never below the number of common words.
+    bound is never below the number of common words. Lists of names with more words than
+    fit (and empty ones) count as if they had one in common.
     """
-    (a1, a2, own_a, size_a, more_a), (b1, b2, own_b, size_b, more_b) = x, y
-    prints = lambda p, q: np.stack([p, q], 1).view(np.uint16)
-    a, b = prints(a1, a2), prints(b1, b2)
+    (a1, a2, qa1, qa2, own_a, size_a, more_a), (b1, b2, qb1, qb2, own_b, size_b, more_b) = x, y
+    prints = lambda p, q, kind: np.stack([p, q], 1).view(kind)
+    a, b = prints(a1, a2, np.uint16), prints(b1, b2, np.uint16)
     common = more_a.astype(np.int32) + more_b
     for k in range(PRINTS):
         one = a[:, k]
         common += (b == one[:, None]).any(1) & (one != 0)
-    alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
     short = np.minimum(size_a, size_b)
-    return (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
+    alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
+    ok = (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
+    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & (qa1 != 0) & (qb1 != 0))
+    if len(doubt):
+        a, b = prints(qa1[doubt], qa2[doubt], np.uint8), prints(qb1[doubt], qb2[doubt], np.uint8)
+        shared = np.zeros(len(doubt), dtype=bool)
+        for k in range(NAME_PRINTS):
+            one = a[:, k]
+            shared |= (b == one[:, None]).any(1) & (one != 0)
+        ok[doubt[~shared]] = False
+    # Equal titles meet as such, once, and need no other key: all their words have a fingerprint.
+    every = lambda p, size, more: ((p != 0).sum(1) == size) & (more == 0)
+    twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (a1 == b1) & (a2 == b2) & (size_a == size_b))
+    if len(twin):
+        ok[twin[every(prints(a1[twin], a2[twin], np.uint16), size_a[twin], more_a[twin] + more_b[twin])]] = False
+    return ok
 
 
 _AT_ONCE = 1 << 17
@@ -343,7 +372,7 @@ def _met(block: int):
                 for k in range(0, len(of_size), step):
                     at = of_size[k : k + step]
                     x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    ok = _possible([c[x] for c in cols[2:7]], [c[y] for c in cols[2:7]], cols[7][x])
+                    ok = _possible([c[x] for c in cols[2:9]], [c[y] for c in cols[2:9]], cols[9][x])
                     a, b = cols[1][x[ok]], cols[1][y[ok]]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
@@ -355,7 +384,7 @@ def _met(block: int):
                 yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
             if rest:
                 rows = np.concatenate(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5, 6, 7), list(_MET)[2:]))], schema=_MET)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5, 6, 7, 8, 9), list(_MET)[2:]))], schema=_MET)
 
     return run
 
@@ -371,7 +400,7 @@ def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
         for k in range(0, len(c[0]), _AT_ONCE):
             d = [x[k : k + _AT_ONCE] for x in c]
-            ok = _possible(d[3:8], d[8:13], d[0])
+            ok = _possible(d[3:10], d[10:17], d[0])
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[1], d[2])[ok]), pa.array(np.maximum(d[1], d[2])[ok])], names=["a", "b"])
 
 
@@ -418,11 +447,6 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     return pairs, tables
 
 
-@lru_cache(maxsize=1 << 16)
-def _letters(word: str) -> frozenset:
-    return frozenset(word)
-
-
 def _near(x: str, y: str) -> bool:
     if x == y:
         return True
@@ -472,6 +496,12 @@ def title_likeness(a: list[str], b: list[str], least: float = 0.0) -> float:
     return 2 * same / (len(a) + len(b)) if same >= need else 0.0
 
 
+@lru_cache(maxsize=1 << 16)
+def _name(name: str) -> tuple[list[str], list[str], frozenset]:
+    words = name.split(" ")
+    return words, [w for w in words if len(w) >= 5], frozenset(words)
+
+
 def author_likeness(a: list[str], b: list[str]) -> float | None:
     """The share of the shorter list of names that the other one has; None if one is empty."""
     if not a or not b:
@@ -480,19 +510,24 @@ def author_likeness(a: list[str], b: list[str]) -> float | None:
         return 1.0
     if len(a) > len(b):
         a, b = b, a
-    rest = [set(n.split()) for n in b]
+    rest = list(b)
     hits = 0
     for name in a:
-        own = name.split()
-        best, score, whole = -1, 0, True
-        for k, other in enumerate(rest):
-            found = [3 if t in other else 2 if len(t) >= 5 and any(_near(t, u) for u in other if len(u) >= 5) else 0 for t in own]
+        if name in rest:
+            hits += 1
+            rest.remove(name)
+            continue
+        own = _name(name)[0]
+        best, score, whole = None, 0, True
+        for other in rest:
+            words, long, every = _name(other)
+            found = [3 if t in every else 2 if len(t) >= 5 and any(_near(t, u) for u in long) else 0 for t in own]
             if sum(found) > score:
                 n = sum(x > 0 for x in found)
-                best, score, whole = k, sum(found), n == len(own) or n == len(other)
-        if best >= 0:
+                best, score, whole = other, sum(found), n == len(own) or n == len(words)
+        if best is not None:
             hits += 1 if whole else 0.5  # other words on both sides: a namesake or a pet name
-            rest.pop(best)
+            rest.remove(best)
     return hits / len(a)
 
 
@@ -569,7 +604,7 @@ def candidate_edges(nodes: DataFrame, live: DataFrame, total: int, least: float,
     """(a, b, s), a < b: the edges of the candidate graph with a similarity of `least` or more that meta-blocking keeps.
 
     An edge is kept if it has at least `keep` of the weight of the heaviest edge at one of
-    its ends. live has the nodes that are matched (n, words, families, day, several), nodes
+    its ends. live has the nodes that are matched (n, words, families, day, several, people), nodes
     the texts of these and others; ends with another mark are no edge.
     """
     spark = nodes.sparkSession
@@ -577,7 +612,7 @@ def candidate_edges(nodes: DataFrame, live: DataFrame, total: int, least: float,
     counts = np.zeros(COUNTERS, dtype=np.int64)
     counts[counted.column("k").to_numpy()] = counted.column("c").to_numpy()
     shared = spark.sparkContext.broadcast(counts)
-    pairs, tables = met_pairs(live.select("n", "words", "families", "day", "several").mapInArrow(attributes(shared), _ROW_DDL), nodes, block)
+    pairs, tables = met_pairs(live.select("n", "words", "families", "day", "several", "people").mapInArrow(attributes(shared), _ROW_DDL), nodes, block)
     own = nodes.select("n", "t", "mark", "names", "year", "day")
     side = lambda e: own.toDF(e, f"t{e}", f"m{e}", f"n{e}", f"y{e}", f"d{e}").hint("shuffle_hash")
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where("ma = mb")
@@ -664,8 +699,8 @@ def linked_classes(observations: DataFrame, least: float = 0.72, fade: float = 1
     # Without a title only several authors and a day tell a work; other records match nothing.
     nodes = written(made.withColumn("telling", title | people & F.col("day").isNotNull()).withColumn("self", F.when(title, own).otherwise(0.75)), "nodes")
     total = nodes.count()
-    telling = nodes.where("telling").select("n", "p", "words", "families", "day", people.alias("several"))
-    live = written(telling.groupBy("p").agg(F.min(F.struct("n", "words", "families", "day", "several")).alias("x")).select("x.*"), "live")
+    telling = nodes.where("telling").select("n", "p", "words", "families", "day", people.alias("several"), "people")
+    live = written(telling.groupBy("p").agg(F.min(F.struct("n", "words", "families", "day", "several", "people")).alias("x")).select("x.*"), "live")
     kept = candidate_edges(nodes, live, total, least, block)
     removed(live)
     label = classes(nodes, total)
