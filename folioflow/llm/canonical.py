@@ -59,8 +59,19 @@ def distance(a: str, b: str, most: int) -> int:
     """Edit distance with swaps of neighbours, most + 1 when it is larger."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
+    n, m = len(a), len(b)
+    if n - m > most or m - n > most:
         return most + 1
+    same = min(n, m)
+    i = 0
+    while i < same and a[i] == b[i]:  # slips are few: what both words begin and end with needs no table
+        i += 1
+    k = 0
+    while k < same - i and a[n - 1 - k] == b[m - 1 - k]:
+        k += 1
+    a, b = a[i : n - k], b[i : m - k]
+    if len(a) < 2 and len(b) < 2 or not a or not b:
+        return min(max(len(a), len(b)), most + 1)
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, before, row = before, row, [i]

@@ -147,8 +147,12 @@ def _name_words(name: str) -> str:
 
 
 def family(name: str) -> str:
-    """The longest word of a name, which both orders of its parts have; of equal ones the last by alphabet."""
-    return max(name.split(" "), key=lambda w: (len(w), w))
+    """The longest word of a name (words in order of the alphabet), which both orders of its parts have; of equal ones the last."""
+    best = ""
+    for w in name.split(" "):
+        if len(w) >= len(best):
+            best = w
+    return best
 
 
 @lru_cache(maxsize=1 << 18)
@@ -447,14 +451,22 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     return pairs, tables
 
 
-def _near(x: str, y: str) -> bool:
-    if x == y:
+@lru_cache(maxsize=1 << 17)
+def _word(w: str) -> tuple[str, int, int]:
+    """(word, length, bits of its letters)."""
+    bits = 0
+    for c in w:
+        bits |= 1 << (ord(c) & 63)
+    return w, len(w), bits
+
+
+def _near(x: tuple[str, int, int], y: tuple[str, int, int]) -> bool:
+    """Whether two words are the same but for a slip or, if they are long, two."""
+    if x[0] == y[0]:
         return True
-    n, m = len(x), len(y)
-    if n > m:
-        n, m = m, n
+    n, m = (x[1], y[1]) if x[1] < y[1] else (y[1], x[1])
     most = 2 if n >= 7 else 1 if n >= 4 else 0
-    return m - n <= most and most > 0 and len(_letters(x) ^ _letters(y)) <= 2 * most and _measured(x, y, most)
+    return m - n <= most and most > 0 and (x[2] ^ y[2]).bit_count() <= 2 * most and _measured(x[0], y[0], most)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -481,25 +493,30 @@ def title_likeness(a: list[str], b: list[str], least: float = 0.0) -> float:
     if 4 * same < min(len(a), len(b)):  # too little for slips to make up
         return 0.0
     short, long = (a, b) if len(a) < len(b) else (b, a)
-    if len(short) >= 2 and len(long) - len(short) >= 2 and all(_near(x, y) for x, y in zip(short, long)):
+    if len(short) >= 2 and len(long) - len(short) >= 2 and all(x == y or _near(_word(x), _word(y)) for x, y in zip(short, long)):
         return max(2 * len(short) / (len(a) + len(b)), 0.9)
     need = least * (len(a) + len(b)) / 2 - 1e-9
     left = len(rest_a)
+    others = [_word(u) for u in rest_b]
     for t in rest_a:
-        if same + min(left, len(rest_b)) < need:
+        if same + min(left, len(others)) < need:
             return 0.0
         left -= 1
-        hit = next((u for u in rest_b if _near(t, u)), None)
-        if hit is not None:
-            rest_b.remove(hit)
-            same += 1
+        t = _word(t)
+        for k, u in enumerate(others):
+            if -3 < t[1] - u[1] < 3 and (t[2] ^ u[2]).bit_count() <= 4 and _near(t, u):
+                del others[k]
+                same += 1
+                break
     return 2 * same / (len(a) + len(b)) if same >= need else 0.0
 
 
-@lru_cache(maxsize=1 << 16)
-def _name(name: str) -> tuple[list[str], list[str], frozenset]:
+@lru_cache(maxsize=1 << 17)
+def _name(name: str) -> tuple[list, list, list]:
+    """(words, words of five letters and more, words as such) of a name."""
     words = name.split(" ")
-    return words, [w for w in words if len(w) >= 5], frozenset(words)
+    each = [_word(w) for w in words]
+    return each, [w for w in each if w[1] >= 5], words
 
 
 def author_likeness(a: list[str], b: list[str]) -> float | None:
@@ -521,10 +538,17 @@ def author_likeness(a: list[str], b: list[str]) -> float | None:
         best, score, whole = None, 0, True
         for other in rest:
             words, long, every = _name(other)
-            found = [3 if t in every else 2 if len(t) >= 5 and any(_near(t, u) for u in long) else 0 for t in own]
-            if sum(found) > score:
-                n = sum(x > 0 for x in found)
-                best, score, whole = other, sum(found), n == len(own) or n == len(words)
+            n = total = 0
+            for t in own:
+                if t[0] in every:
+                    n, total = n + 1, total + 3
+                elif t[1] >= 5:
+                    for u in long:
+                        if -3 < t[1] - u[1] < 3 and (t[2] ^ u[2]).bit_count() <= 4 and _near(t, u):
+                            n, total = n + 1, total + 2
+                            break
+            if total > score:
+                best, score, whole = other, total, n == len(own) or n == len(words)
         if best is not None:
             hits += 1 if whole else 0.5  # other words on both sides: a namesake or a pet name
             rest.remove(best)
@@ -550,16 +574,15 @@ def confidence(x: dict, y: dict, least: float = 0.0) -> float:
     return 0.6 * title + 0.3 * people + 0.1 * time
 
 
-@lru_cache(maxsize=1 << 14)
+@lru_cache(maxsize=1 << 16)
 def _title(t: str) -> tuple[list[str], frozenset]:
     tokens = t.split()
     return tokens, frozenset(tokens)
 
 
-@lru_cache(maxsize=1 << 14)
-def _people(names: str) -> tuple[list[str], frozenset, frozenset]:
-    each = names.split("|") if names else []
-    return each, frozenset(names.replace("|", " ").split()), frozenset(map(family, each))
+def _strangers(a: str, b: str) -> bool:
+    """Whether two lists of names, if both are known, have no word in common."""
+    return a != "" and b != "" and set(a.replace("|", " ").split(" ")).isdisjoint(b.replace("|", " ").split(" "))
 
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("w", pa.float32()), ("s", pa.float32())])
@@ -570,29 +593,31 @@ def _scored(shared, total: int, least: float):
 
     Titles have SHARE of the shorter one's words in common, or SHARE_APART if the authors
     of both are known and have no word of a name in common. An edge weighs the sum of
-    log(all / holders) over the words and families both ends have.
+    log(all / holders) over the title words both ends have.
     """
     log_total = math.log(max(2, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
 
-        @lru_cache(maxsize=1 << 18)
-        def weight(tag: str, word: str) -> float:
-            return log_total - math.log(max(1, int(counts[(_hash(tag, word) % (1 << 64)) % COUNTERS])))
+        weights: dict[str, float] = {}
+
+        def weight(word: str) -> float:
+            if word not in weights:
+                weights[word] = log_total - math.log(max(1, int(counts[(_hash("w", word) % (1 << 64)) % COUNTERS])))
+            return weights[word]
 
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for a, b, tx, ty, nx, ny, yx, yy, dx, dy in zip(*(c.to_pylist() for c in batch.columns)):
                 (p, ps), (q, qs) = _title(tx), _title(ty)
-                (np_, nps, fp), (nq, nqs, fq) = _people(nx), _people(ny)
-                both = ps & qs
+                both = ps if tx == ty else ps & qs
                 if p and q:
-                    share = SHARE if not (nx and ny) or not nps.isdisjoint(nqs) else SHARE_APART
-                    if len(both) < share * min(len(ps), len(qs)) - 1e-9:
+                    short = min(len(ps), len(qs))
+                    if len(both) < SHARE * short - 1e-9 or len(both) < SHARE_APART * short - 1e-9 and _strangers(nx, ny):
                         continue
-                w = sum([weight("w", t) for t in both]) + sum([weight("f", t) for t in fp & fq])
-                s = confidence({"tokens": p, "names": np_, "year": yx, "day": dx}, {"tokens": q, "names": nq, "year": yy, "day": dy}, least)
+                w = sum([weight(t) for t in both])
+                s = confidence({"tokens": p, "names": nx.split("|") if nx else [], "year": yx, "day": dx}, {"tokens": q, "names": ny.split("|") if ny else [], "year": yy, "day": dy}, least)
                 for c, v in zip(out, (a, b, w, s if s >= least else 0.0)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _EDGE)], schema=_EDGE)
