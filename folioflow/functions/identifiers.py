@@ -16,6 +16,13 @@ NAMESPACES = {
 }
 
 
+#: The forms of the identifiers and what may stand before them.
+DOI, DOI_PREFIXES = r"^10\.[0-9]{4,9}/\S+$", (r"^https?://(dx\.)?doi\.org/", r"^doi:\s*")
+ARXIV_NEW, ARXIV_OLD, ARXIV_PREFIXES = r"^[0-9]{4}\.[0-9]{4,5}(v[0-9]+)?$", r"^[a-z\-]+(\.[a-z]{2})?/[0-9]{7}(v[0-9]+)?$", (r"^https?://arxiv\.org/(abs|pdf)/", r"^arxiv:\s*")
+ORCID, ORCID_PREFIX = r"^(?i)[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$", r"^https?://orcid\.org/"
+ROR, ROR_PREFIX = r"^0[a-hj-km-np-tv-z0-9]{6}[0-9]{2}$", r"^https?://ror\.org/"
+
+
 def payload_hash(c: Column) -> Column:
     """SHA-256 in hex."""
     return F.sha2(c, 256)
@@ -30,16 +37,16 @@ def _bare(c: Column, *prefixes: str) -> Column:
 
 def doi(c: Column) -> Column:
     """A DOI in lower case without resolver and prefix; null if it isn't one."""
-    bare = _bare(c, r"^https?://(dx\.)?doi\.org/", r"^doi:\s*")
-    return F.when(bare.rlike(r"^10\.[0-9]{4,9}/\S+$"), bare)
+    bare = _bare(c, *DOI_PREFIXES)
+    return F.when(bare.rlike(DOI), bare)
 
 
 def arxiv_id(c: Column, strip_version: bool = True) -> Column:
     """A modern or legacy arXiv id in lower case, by default without its version; null if it isn't one."""
-    bare = _bare(c, r"^https?://arxiv\.org/(abs|pdf)/", r"^arxiv:\s*")
+    bare = _bare(c, *ARXIV_PREFIXES)
     if strip_version:
         bare = F.regexp_replace(bare, r"v[0-9]+$", "")
-    return F.when(bare.rlike(r"^[0-9]{4}\.[0-9]{4,5}(v[0-9]+)?$") | bare.rlike(r"^[a-z\-]+(\.[a-z]{2})?/[0-9]{7}(v[0-9]+)?$"), bare)
+    return F.when(bare.rlike(ARXIV_NEW) | bare.rlike(ARXIV_OLD), bare)
 
 
 def orcid_check(digits: Column) -> Column:
@@ -51,16 +58,16 @@ def orcid_check(digits: Column) -> Column:
 
 def orcid(c: Column) -> Column:
     """An ORCID as dddd-dddd-dddd-dddX with a right check sign; null otherwise."""
-    bare = strip(F.regexp_replace(strip(c), r"^https?://orcid\.org/", ""))
-    digits = F.when(bare.rlike(r"^(?i)[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$"), F.upper(F.replace(bare, F.lit("-"), F.lit("")))).otherwise(F.regexp_replace(F.upper(bare), "[^0-9X]", ""))
+    bare = strip(F.regexp_replace(strip(c), ORCID_PREFIX, ""))
+    digits = F.when(bare.rlike(ORCID), F.upper(F.replace(bare, F.lit("-"), F.lit("")))).otherwise(F.regexp_replace(F.upper(bare), "[^0-9X]", ""))
     dashed = F.concat_ws("-", *[F.substring(digits, 4 * k + 1, 4) for k in range(4)])
     return F.when((F.length(digits) == 16) & orcid_check(digits), dashed)
 
 
 def ror(c: Column) -> Column:
     """A ROR id as its URL; null if it isn't one."""
-    bare = F.regexp_replace(F.lower(strip(c)), r"^https?://ror\.org/", "")
-    return F.when(bare.rlike(r"^0[a-hj-km-np-tv-z0-9]{6}[0-9]{2}$"), F.concat(F.lit("https://ror.org/"), bare))
+    bare = F.regexp_replace(F.lower(strip(c)), ROR_PREFIX, "")
+    return F.when(bare.rlike(ROR), F.concat(F.lit("https://ror.org/"), bare))
 
 
 def uuid5(namespace: str, name: Column) -> Column:

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 SPACE = r"[\t-\r\x1c-\x20\x85   -     　]"
 
 
+#: The same code points one by one.
+_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends; null stays null."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def squeeze(c: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioflow.functions import identifiers as ids
 from folioflow.functions.text import none_if_empty, strip
@@ -19,6 +20,8 @@ WORK = f"struct<source_name:string,source_work_id:string,title:string,abstract:s
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_idx, line) of a text file or folder: non-blank lines, stripped, numbered from 0 over all lines.
 
+    Numbers follow the names of the files and the places in them, however Spark splits or packs them.
+
     A path that does not exist raises FileNotFoundError before anything is read.
     Lines end at \\n, \\r or \\r\\n only, so other separators may stand inside JSON strings.
     """
@@ -26,17 +29,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(path)
-    rows = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
-    # Places within a partition are dense, so the number of lines before each partition makes them global.
-    part = F.shiftright("_at", 33)
-    size = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = {r.part: r.n for r in size.collect()}  # one row for each file split
-    starts, total = [], 0
-    for k in sorted(before):
-        starts += [F.lit(k), F.lit(total)]
-        total += before[k]
-    offset = F.create_map(*starts)[part] if starts else F.lit(0)
-    numbered = rows.select((F.col("_at").bitwiseAND((1 << 33) - 1) + offset).cast("bigint").alias("line_idx"), strip(F.col("value")).alias("line"))
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    # Lines of a split are numbered in order, so the lines before each split make the numbers global.
+    splits = rows.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    # One row for each split, a million of them for 128 TB.
+    numbered = rows.join(F.broadcast(splits), ["file", "block"]).select((F.col("at") - F.col("first") + F.col("before")).cast("bigint").alias("line_idx"), strip(F.col("value")).alias("line"))
     return numbered.where("line <> ''")
 
 
