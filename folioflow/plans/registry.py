@@ -8,12 +8,14 @@ from folioflow.plans import reference
 QUERIES = {
     "p2_found": nested.p2_found,
     "p2_objects": nested.p2_objects,
+    "p2_rejects": nested.p2_rejects,
     "p5_found": orphans.p5_found,
     "p5_report": orphans.p5_report,
     **reference.QUERIES,
 }
 SQL = {
     "p2_found": nested.P2_FOUND_SQL,
+    "p2_rejects": nested.P2_REJECTS_SQL,
     "p5_found": orphans.P5_FOUND_SQL,
     "p5_report": orphans.P5_REPORT_SQL,
     **reference.SQL,
