@@ -10,6 +10,7 @@ from folioflow.functions import identifiers as ids
 from folioflow.functions import text as tx
 from folioflow.operators import quality
 from folioflow.operators.common import table
+from folioflow.operators.orphans import Reference, orphans
 from folioflow.operators.resolve import accepted_dates, merged_edges, unpivoted_metrics, winner
 from folioflow.operators.schemas import violations
 from folioflow.plans import analytics
@@ -178,28 +179,142 @@ def _parsed(spark: SparkSession, d: str, source: str) -> DataFrame:
     return records.parse(table(spark, d, f"sample_{source}", "record_no", "payload"), source, "payload")
 
 
-@query("select record_no, case when not coalesce(json_valid(payload), false) then 'MALFORMED_JSON' when json_type(payload) <> 'OBJECT' then 'PARSER_EXCEPTION' else 'object' end outcome from sample_crossref")
+@query(" union all ".join(f"select '{t}' as source, record_no, case when not coalesce(json_valid(payload), false) then 'MALFORMED_JSON' when json_type(payload) <> 'OBJECT' then 'PARSER_EXCEPTION' else 'object' end outcome from {t}" for t in ("sample_openalex", "sample_crossref", "sample_semantic_scholar")))
 def json_decode(spark: SparkSession, d: str) -> DataFrame:
     v = F.try_parse_json("payload")
-    outcome = F.when(v.isNull(), "MALFORMED_JSON").when(F.schema_of_variant(v).startswith("OBJECT"), "object").otherwise("PARSER_EXCEPTION")
-    return table(spark, d, "sample_crossref", "record_no", "payload").select("record_no", outcome.alias("outcome"))
+    out = None
+    for name in ("sample_openalex", "sample_crossref", "sample_semantic_scholar"):
+        one = table(spark, d, name, "record_no", "payload").select(F.lit(name).alias("source"), "record_no", F.coalesce(records.decoding_error(v)[0], F.lit("object")).alias("outcome"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-@query(r"""with j as (select record_no, json(payload) j from sample_semantic_scholar where json_valid(payload) and json_type(payload) = 'OBJECT'),
-ok as (select * from j where not coalesce(json_type(j, '$.publicationVenue.type') = 'NULL', false) and not coalesce(list_bool_or([coalesce(json_type(x), 'NULL') <> 'OBJECT' for x in try_cast(json_extract(j, '$.citations') as json[])]) and json_type(j, '$.citations') = 'ARRAY', false) and not coalesce(list_bool_or([coalesce(json_type(x), 'NULL') <> 'OBJECT' for x in try_cast(json_extract(j, '$.authors') as json[])]) and json_type(j, '$.authors') = 'ARRAY', false) and coalesce(json_type(j, '$.title'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.year'), 'NULL') in ('NULL', 'UBIGINT', 'BIGINT'))
-select record_no, coalesce(nullif(trim(j->>'$.paperId'), ''), j->>'$.corpusId', 'unknown') source_work_id, coalesce(trim(regexp_replace(j->>'$.title', '\s+', ' ', 'g')), '') title, cast(coalesce(j->>'$.citationCount', '0') as int) citation_count, cast(coalesce(j->>'$.influentialCitationCount', '0') as int) influential_citation_count, coalesce(nullif(j->>'$.publicationVenue.name', ''), j->>'$.venue') raw_venue_name from ok""")
-def parse_semantic_scholar(spark: SparkSession, d: str) -> DataFrame:
-    return _parsed(spark, d, "semantic_scholar").where("error_type is null").select("record_no", *[F.col(f"work.{c}").alias(c) for c in ("source_work_id", "title", "citation_count", "influential_citation_count", "raw_venue_name")])
+def _valid(name: str) -> str:
+    return f"select record_no, case when json_valid(payload) then json(payload) end j from {name} where case when coalesce(json_valid(payload), false) then json_type(payload) = 'OBJECT' else false end"
 
 
-@query(None)
+def _items(path: str) -> str:
+    return f"case when json_type(j, '{path}') = 'ARRAY' then cast(json_extract(j, '{path}') as json[]) else [] end"
+
+
+def _text(path: str, j: str = "j") -> str:
+    """A field as text, null when it is an object or a list."""
+    return f"case when json_type({j}, '{path}') in ('OBJECT', 'ARRAY', 'NULL') then null else {j}->>'{path}' end"
+
+
+def _no_objects(items: str) -> str:
+    return f"coalesce(list_bool_or([coalesce(json_type(x), 'NULL') <> 'OBJECT' for x in {items}]), false)"
+
+
+def _joined(x: str, parts: str) -> str:
+    return f"array_to_string([{parts} for a in {x}], '; ')"
+
+
+def _bare(c: str, *prefixes: str) -> str:
+    out = f"lower({_strip(c)})"
+    for p in prefixes:
+        out = f"regexp_replace({out}, '{p}', '')"
+    return _strip(out)
+
+
+def _sql_doi(c: str) -> str:
+    bare = _bare(c, "^https?://(dx[.])?doi[.]org/", "^doi:[[:space:]]*")
+    return f"case when regexp_matches({bare}, '^10[.][0-9]{{4,9}}/[^[:space:]]+$') then {bare} end"
+
+
+def _sql_date(c: str) -> str:
+    return f"case when regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') then try_cast({c} as date) end"
+
+
+def _parts(df: DataFrame) -> DataFrame:
+    """All fields of the works parsed without error, lists as text."""
+    w = F.col("work")
+    shown = lambda *c: F.concat_ws("/", *[F.coalesce(x.cast("string"), F.lit("-")) for x in c])
+    people = F.array_join(F.transform(w["authors"], lambda a: shown(a["raw_name"], a["position"], a["source_author_id"], a["raw_affiliation"], a["institution_name"], a["institution_country"])), "; ")
+    cited = F.array_join(F.transform(w["citations"], lambda c: shown(c["cited_doi"], c["cited_source_id"], c["raw_citation_string"], c["is_influential"], F.array_join(c["citation_intents"], ","))), "; ")
+    others = F.array_join(F.transform(w["external_ids"], lambda x: shown(x["type"], x["value"])), "; ")
+    plain = ("source_name", "source_work_id", "title", "abstract", "publication_year", "publication_date", "normalized_doi", "normalized_arxiv_id", "raw_venue_name", "venue_issn", "venue_type", "citation_count", "influential_citation_count")
+    return df.where("error_type is null").select("record_no", *[w[c].alias(c) for c in plain], people.alias("authors"), cited.alias("citations"), others.alias("external_ids"))
+
+
+_OPENALEX_YEAR = "try_cast(j->>'$.publication_year' as int)"
+_OPENALEX_DATE = _sql_date("nullif(" + _text("$.publication_date") + ", '')")
+_NAMED = "coalesce(nullif(" + _text("$.author.display_name", "a") + ", ''), nullif(" + _text("$.raw_author_name", "a") + ", ''))"
+_INST = "nullif(" + _text("$.institutions[0].display_name", "a") + ", '')"
+
+
+@query(f"""with j as ({_valid("sample_openalex")}),
+ok as (select *, {_items("$.authorships")} ships, {_items("$.referenced_works")} refs, coalesce({_strip(_text("$.id"))}, '') raw_id, {_sql_doi("coalesce(nullif(" + _text("$.doi") + ", ''), nullif(" + _text("$.ids.doi") + ", ''))")} doi from j
+  where coalesce(json_type(j, '$.title'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.primary_location.source.type'), 'VARCHAR') <> 'NULL' and not {_no_objects(_items("$.authorships"))} and coalesce(json_type(j, '$.publication_year'), 'NULL') in ('NULL', 'UBIGINT', 'BIGINT') and not coalesce({_text("$.cited_by_count")} is not null and try_cast({_text("$.cited_by_count")} as double) is null, false)),
+k as (select record_no ab_no, unnest(json_keys(j, '$.abstract_inverted_index')) w, unnest(range(1, len(json_keys(j, '$.abstract_inverted_index')) + 1)) o, j from ok where json_type(j, '$.abstract_inverted_index') = 'OBJECT'),
+pl as (select ab_no, w, o, unnest(cast(map_extract(cast(json_extract(j, '$.abstract_inverted_index') as map(varchar, int[])), w)[1] as int[])) p from k),
+ab as (select ab_no, nullif({_squeeze("string_agg(w, ' ' order by p)")}, '') abstract from (select ab_no, p, max_by(w, o) w from pl where p >= 0 group by 1, 2) where w <> '' group by 1)
+select record_no, 'openalex' source_name, raw_id source_work_id, coalesce({_squeeze("coalesce(nullif(" + _text("$.title") + ", ''), nullif(" + _text("$.display_name") + ", ''))")}, '') title, ab.abstract, case when {_OPENALEX_YEAR} <> 0 then {_OPENALEX_YEAR} else coalesce(year({_OPENALEX_DATE}), {_OPENALEX_YEAR}) end publication_year, {_OPENALEX_DATE} publication_date, doi normalized_doi, cast(null as varchar) normalized_arxiv_id,
+{_text("$.primary_location.source.display_name")} raw_venue_name, {_text("$.primary_location.source.issn_l")} venue_issn, coalesce(upper({_text("$.primary_location.source.type")}), 'UNSPECIFIED') venue_type, coalesce(trunc(try_cast({_text("$.cited_by_count")} as double)), 0)::int citation_count, 0 influential_citation_count,
+array_to_string([x.t for x in [{{'t': {_NAMED} || '/' || i || '/' || coalesce(nullif({_text("$.author.id", "a")}, ''), '-') || '/' || coalesce(nullif({_text("$.raw_affiliation_string", "a")}, ''), {_INST}, '-') || '/' || coalesce({_INST}, '-') || '/' || coalesce(nullif({_text("$.institutions[0].country_code", "a")}, ''), '-'), 'n': {_NAMED}}} for a, i in ships] if x.n <> ''], '; ') authors,
+array_to_string(['-/' || x || '/-/false/' for x in [{_strip("r->>'$'")} for r in refs if json_type(r) = 'VARCHAR'] if x <> ''], '; ') citations,
+array_to_string(list_filter([case when raw_id <> '' then 'OPENALEX/' || raw_id end, 'DOI/' || doi, 'MAG/' || nullif({_text("$.ids.mag")}, ''), 'PMID/' || nullif({_text("$.ids.pmid")}, '')], lambda x: x is not null), '; ') external_ids
+from ok left join ab on ab.ab_no = record_no""")
 def parse_openalex(spark: SparkSession, d: str) -> DataFrame:
-    return _parsed(spark, d, "openalex").select("record_no", "error_type", F.to_json("work").alias("work"))
+    """All fields of the OpenAlex records."""
+    return _parts(_parsed(spark, d, "openalex"))
 
 
-@query(None)
+def _chosen(k: str) -> str:
+    return f"case when json_array_length(j, '$.\"{k}\".\"date-parts\"[0]') > 0 then try_cast(json_extract(j, '$.\"{k}\".\"date-parts\"[0]') as int[]) end"
+
+
+_CROSSREF_NAME = f"case when {_strip(_text('$.given', 'a'))} <> '' then {_strip(_text('$.given', 'a'))} || ' ' || coalesce({_strip(_text('$.family', 'a'))}, '') else coalesce({_strip(_text('$.family', 'a'))}, '') end"
+_CROSSREF_DATE = "try_cast(printf('%04d-%02d-%02d', dp[1], case when len(dp) >= 2 then dp[2] else 1 end, case when len(dp) >= 3 then dp[3] else 1 end) as date)"
+
+
+@query(f"""with j as ({_valid("sample_crossref")}),
+ok as (select *, {_items("$.author")} people, {_items("$.reference")} refs, coalesce({_text("$.DOI")}, '') raw, coalesce({_chosen("published-print")}, {_chosen("published-online")}, {_chosen("issued")}, {_chosen("created")}) dp from j
+  where coalesce(json_type(j, '$.type'), 'VARCHAR') <> 'NULL' and coalesce(json_type(j, '$.abstract'), 'NULL') in ('NULL', 'VARCHAR') and not {_no_objects(_items("$.author"))} and not {_no_objects(_items("$.reference"))} and not coalesce({_text('$."is-referenced-by-count"')} is not null and try_cast({_text('$."is-referenced-by-count"')} as double) is null, false))
+select record_no, 'crossref' source_name, raw source_work_id, coalesce({_squeeze("case when json_type(j, '$.title') = 'VARCHAR' then j->>'$.title' else " + _text("$.title[0]") + " end")}, '') title, nullif({_squeeze("regexp_replace(nullif(" + _text("$.abstract") + ", ''), '<[^>]+>', ' ', 'g')")}, '') abstract, dp[1] publication_year, {_CROSSREF_DATE} publication_date, {_sql_doi("raw")} normalized_doi, cast(null as varchar) normalized_arxiv_id,
+{_text('$."container-title"[0]')} raw_venue_name, {_text("$.ISSN[0]")} venue_issn, case when contains({_text("$.type")}, 'journal') then 'JOURNAL' else 'CONFERENCE' end venue_type, coalesce(trunc(try_cast({_text('$."is-referenced-by-count"')} as double)), 0)::int citation_count, 0 influential_citation_count,
+array_to_string([x.t for x in [{{'t': {_strip(_CROSSREF_NAME)} || '/' || i || '/-/' || coalesce({_text("$.affiliation[0].name", "a")}, '-') || '/-/-', 'n': {_strip(_CROSSREF_NAME)}}} for a, i in people] if x.n <> ''], '; ') authors,
+array_to_string([coalesce(x.d, '-') || '/-/' || coalesce(x.u, '-') || '/false/' for x in [{{'d': {_sql_doi(_text("$.DOI", "a"))}, 'u': nullif({_text("$.unstructured", "a")}, '')}} for a in refs] if x.d is not null or x.u is not null], '; ') citations,
+case when {_sql_doi("raw")} is not null then 'DOI/' || {_sql_doi("raw")} else '' end external_ids from ok""")
 def parse_crossref(spark: SparkSession, d: str) -> DataFrame:
-    return _parsed(spark, d, "crossref").select("record_no", "error_type", F.to_json("work").alias("work"))
+    """All fields of the Crossref records."""
+    return _parts(_parsed(spark, d, "crossref"))
+
+
+_S2_DATE = _sql_date("nullif(" + _text("$.publicationDate") + ", '')")
+_S2_YEAR = "try_cast(j->>'$.year' as int)"
+_S2_ARXIV = "regexp_replace(" + _bare(_text("$.externalIds.ArXiv"), "^https?://arxiv[.]org/(abs|pdf)/", "^arxiv:[[:space:]]*") + ", 'v[0-9]+$', '')"
+
+
+@query(f"""with j as ({_valid("sample_semantic_scholar")}),
+ok as (select *, {_items("$.authors")} people, {_items("$.citations")} cites, coalesce({_strip(_text("$.paperId"))}, '') paper, nullif(nullif({_text("$.corpusId")}, ''), '0') corpus, {_sql_doi(_text("$.externalIds.DOI"))} doi, case when regexp_matches({_S2_ARXIV}, '^([0-9]{{4}}[.][0-9]{{4,5}}|[a-z-]+([.][a-z]{{2}})?/[0-9]{{7}})$') then {_S2_ARXIV} end aid from j
+  where coalesce(json_type(j, '$.title'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.abstract'), 'NULL') in ('NULL', 'VARCHAR') and coalesce(json_type(j, '$.publicationVenue.type'), 'VARCHAR') <> 'NULL' and not {_no_objects(_items("$.authors"))} and not {_no_objects(_items("$.citations"))} and coalesce(json_type(j, '$.year'), 'NULL') in ('NULL', 'UBIGINT', 'BIGINT'))
+select record_no, 'semantic_scholar' source_name, coalesce(nullif(paper, ''), corpus, 'unknown') source_work_id, coalesce({_squeeze(_text("$.title"))}, '') title, nullif({_squeeze(_text("$.abstract"))}, '') abstract, case when {_S2_YEAR} <> 0 then {_S2_YEAR} else coalesce(year({_S2_DATE}), {_S2_YEAR}) end publication_year, {_S2_DATE} publication_date, doi normalized_doi, aid normalized_arxiv_id,
+coalesce(nullif({_text("$.publicationVenue.name")}, ''), {_text("$.venue")}) raw_venue_name, {_text("$.publicationVenue.issn")} venue_issn, coalesce(upper({_text("$.publicationVenue.type")}), 'UNSPECIFIED') venue_type, coalesce(trunc(try_cast({_text("$.citationCount")} as double)), 0)::int citation_count, coalesce(trunc(try_cast({_text("$.influentialCitationCount")} as double)), 0)::int influential_citation_count,
+array_to_string([x.t for x in [{{'t': coalesce({_strip(_text("$.name", "a"))}, '') || '/' || i || '/' || coalesce(nullif({_text("$.authorId", "a")}, ''), '-') || '/-/-/-', 'n': {_strip(_text("$.name", "a"))}}} for a, i in people] if x.n <> ''], '; ') authors,
+array_to_string(['-/' || x.p || '/-/' || x.f || '/' || x.i for x in [{{'p': {_strip(_text("$.paperId", "a"))}, 'f': coalesce(try_cast({_text("$.isInfluential", "a")} as boolean), false), 'i': case when json_type(a, '$.intents') = 'ARRAY' then array_to_string([upper(coalesce(i->>'$', 'NONE')) for i in cast(json_extract(a, '$.intents') as json[])], ',') else '' end}} for a in cites] if x.p <> ''], '; ') citations,
+array_to_string(list_filter(['S2_PAPER_ID/' || nullif(paper, ''), 'CORPUS_ID/' || corpus, 'DOI/' || doi, 'ARXIV/' || aid, 'PUBMED/' || nullif({_text("$.externalIds.PubMed")}, ''), 'DBLP/' || nullif({_text("$.externalIds.DBLP")}, '')], lambda x: x is not null), '; ') external_ids from ok""")
+def parse_semantic_scholar(spark: SparkSession, d: str) -> DataFrame:
+    """All fields of the Semantic Scholar records."""
+    return _parts(_parsed(spark, d, "semantic_scholar"))
+
+
+_ARXIV_BARE = _bare("rid", "^https?://arxiv[.]org/(abs|pdf)/", "^arxiv:[[:space:]]*")
+_ARXIV_ID = f"case when regexp_matches(regexp_replace({_ARXIV_BARE}, 'v[0-9]+$', ''), '^([0-9]{{4}}[.][0-9]{{4,5}}|[a-z-]+([.][a-z]{{2}})?/[0-9]{{7}})$') then regexp_replace({_ARXIV_BARE}, 'v[0-9]+$', '') end"
+_YY = "regexp_extract(rid, '^([0-9]{2})[0-9]{2}[.][0-9]+', 1)"
+_ARXIV_DATE = f"coalesce(d, case when {_YY} <> '' then make_date(case when cast({_YY} as int) < 90 then 2000 else 1900 end + cast({_YY} as int), 1, 1) end)"
+
+
+@query(f"""with o as (select distinct observation_id record_no, coalesce(normalized_arxiv_id, source_work_id) rid, title, abstract, normalized_doi, publication_date d, raw_venue_name, case when json_valid(raw_authors) and json_type(raw_authors) = 'ARRAY' then cast(raw_authors as json[]) else [] end la from source_work_observations),
+p as (select *, {_ARXIV_ID} aid, {_sql_doi("normalized_doi")} doi, coalesce({_strip("nullif(raw_venue_name, '')")}, 'arXiv.org') venue from o)
+select record_no, 'arxiv' source_name, coalesce(nullif({_strip("rid")}, ''), aid, 'unknown') source_work_id, replace(replace(replace(coalesce({_squeeze('title')}, ''), '``', '"'), '''''', '"'), '`', '''') title, replace(replace(replace(coalesce({_squeeze('abstract')}, ''), '``', '"'), '''''', '"'), '`', '''') abstract, year({_ARXIV_DATE}) publication_year, {_ARXIV_DATE} publication_date, doi normalized_doi, aid normalized_arxiv_id, venue raw_venue_name, cast(null as varchar) venue_issn, case when venue = 'arXiv.org' then 'PREPRINT_SERVER' else 'JOURNAL' end venue_type, 0 citation_count, 0 influential_citation_count,
+array_to_string(list_transform(list_filter([case when {_strip("a->>'$.raw_name'")} <> '' then 'F. ' || {_strip("a->>'$.raw_name'")} else 'F.' end for a in la], lambda x: x <> ''), lambda x, i: x || '/' || i || '/-/Lab/-/-'), '; ') authors, '' citations, array_to_string(list_filter(['ARXIV/' || aid, 'DOI/' || doi], lambda x: x is not null), '; ') external_ids from p""")
+def parse_arxiv(spark: SparkSession, d: str) -> DataFrame:
+    """All fields of arXiv records, which the observations are written as first."""
+    o = table(spark, d, "source_work_observations", "observation_id", "normalized_arxiv_id", "source_work_id", "title", "abstract", "normalized_doi", "publication_date", "raw_venue_name", "raw_authors").distinct()
+    names = F.transform(F.coalesce(F.from_json("raw_authors", "array<struct<raw_name:string>>"), F.array().cast("array<struct<raw_name:string>>")), lambda a: F.array(a["raw_name"], F.lit("F."), F.lit("Lab")))
+    line = F.to_json(F.struct(F.coalesce("normalized_arxiv_id", "source_work_id").alias("id"), "title", "abstract", F.col("normalized_doi").alias("doi"), F.col("publication_date").cast("string").alias("update_date"), F.col("raw_venue_name").alias("journal-ref"), names.alias("authors_parsed")))
+    return _parts(records.parse(o.select(F.col("observation_id").alias("record_no"), line.alias("line")), "arxiv"))
 
 
 @query(r"""with j as (select record_no, json(payload) j from sample_openalex where json_valid(payload) and json_type(payload) = 'OBJECT' and json_type(payload, '$.abstract_inverted_index') = 'OBJECT'),
@@ -212,13 +327,6 @@ def inverted_abstracts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sample_openalex", "record_no", "payload").select("record_no", providers.inverted_abstract(v, "$.abstract_inverted_index").alias("abstract")).where("abstract is not null")
 
 
-@query("""select distinct observation_id, cast(i as int) author_position, trim(cast(raw_authors as json[])[i]->>'$.raw_name') raw_name from (select observation_id, raw_authors, unnest(range(1, cast(json_array_length(raw_authors) as int) + 1)) i from source_work_observations where json_valid(raw_authors) and json_type(raw_authors) = 'ARRAY')""")
-def authors_explode(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "source_work_observations", "observation_id", "raw_authors")
-    names = F.from_json("raw_authors", "array<struct<raw_name:string,position:int>>")
-    return o.select("observation_id", F.posexplode(names).alias("i", "a")).select("observation_id", (F.col("i") + 1).alias("author_position"), F.trim("a.raw_name").alias("raw_name")).distinct()
-
-
 # --- quality ----------------------------------------------------------------------------
 
 @query("select distinct observation_id, title, length(coalesce(trim(title), '')) < 3 or lower(trim(title)) in ('[untitled]', 'untitled', 'none', 'unknown', 'n/a', 'na', 'null', '') incomplete from source_work_observations")
@@ -240,16 +348,23 @@ def dq_self_edge(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "canonical_citations", "citing_work_id", "cited_work_id").where("citing_work_id is not null").withColumn("self", quality.is_self_citation(c, none, none, F.col("citing_work_id"))).groupBy("citing_work_id").agg(F.count("*").alias("n"), F.count_if("self").alias("self_edges"))
 
 
-@query("""with a as (select observation_id, unnest(range(1, cast(json_array_length(raw_authors) as int) + 1)) i, raw_authors from (select distinct observation_id, raw_authors from source_work_observations) where json_valid(raw_authors) and json_type(raw_authors) = 'ARRAY'),
-b as (select observation_id, i, trim(cast(raw_authors as json[])[i]->>'$.raw_name') n from a)
-select observation_id, n raw_name, cast(row_number() over (partition by observation_id order by i) as int) position from b where n <> ''""")
-def dq_authors(spark: SparkSession, d: str) -> DataFrame:
-    names = F.from_json("raw_authors", "array<struct<raw_name:string>>")
-    kept = F.filter(F.transform(names, lambda a: F.trim(a["raw_name"])), lambda n: F.coalesce(n != "", F.lit(False)))
-    return table(spark, d, "source_work_observations", "observation_id", "raw_authors").distinct().select("observation_id", F.posexplode(kept).alias("i", "raw_name")).select("observation_id", "raw_name", (F.col("i") + 1).alias("position"))
+def _outcomes() -> str:
+    """SQL for the error of each raw record: malformed, an exception of its parser, or a title that says nothing."""
+    broken = {
+        "openalex": f"coalesce(json_type(j, '$.title'), 'NULL') not in ('NULL', 'VARCHAR') or coalesce(json_type(j, '$.primary_location.source.type'), 'VARCHAR') = 'NULL' or {_no_objects(_items('$.authorships'))} or coalesce(json_type(j, '$.publication_year'), 'NULL') not in ('NULL', 'UBIGINT', 'BIGINT') or coalesce({_text('$.cited_by_count')} is not null and try_cast({_text('$.cited_by_count')} as double) is null, false)",
+        "crossref": f"coalesce(json_type(j, '$.type'), 'VARCHAR') = 'NULL' or coalesce(json_type(j, '$.abstract'), 'NULL') not in ('NULL', 'VARCHAR') or {_no_objects(_items('$.author'))} or {_no_objects(_items('$.reference'))} or coalesce({_text('$.\"is-referenced-by-count\"')} is not null and try_cast({_text('$.\"is-referenced-by-count\"')} as double) is null, false)",
+        "semantic_scholar": f"coalesce(json_type(j, '$.title'), 'NULL') not in ('NULL', 'VARCHAR') or coalesce(json_type(j, '$.abstract'), 'NULL') not in ('NULL', 'VARCHAR') or coalesce(json_type(j, '$.publicationVenue.type'), 'VARCHAR') = 'NULL' or {_no_objects(_items('$.authors'))} or {_no_objects(_items('$.citations'))} or coalesce(json_type(j, '$.year'), 'NULL') not in ('NULL', 'UBIGINT', 'BIGINT')",
+    }
+    titles = {
+        "openalex": _squeeze("coalesce(nullif(" + _text("$.title") + ", ''), nullif(" + _text("$.display_name") + ", ''))"),
+        "crossref": _squeeze("case when json_type(j, '$.title') = 'VARCHAR' then j->>'$.title' else " + _text("$.title[0]") + " end"),
+        "semantic_scholar": _squeeze(_text("$.title")),
+    }
+    one = lambda t: f"select '{t}' as source_name, record_no, payload, case when not good then 'MALFORMED_JSON' when json_type(j) <> 'OBJECT' then 'PARSER_EXCEPTION' when {broken[t]} then 'PARSER_EXCEPTION' when length(coalesce({titles[t]}, '')) < 3 or lower({titles[t]}) in ('[untitled]', 'untitled', 'none', 'unknown', 'n/a', 'na', 'null', '') then 'DQ-02_TITLE_INCOMPLETE' end error_type from (select record_no, payload, coalesce(json_valid(payload), false) good, case when json_valid(payload) then json(payload) end j from sample_{t})"
+    return " union all ".join(map(one, broken))
 
 
-@query(None)
+@query(f"select source_name, cast(count(*) as int) record_count, cast(count(distinct case when error_type is null then {_strip('payload')} end) as int) accepted_count, cast(count(error_type) as int) rejected_count from ({_outcomes()}) where {_strip('payload')} <> '' group by 1")
 def run_counters(spark: SparkSession, d: str) -> DataFrame:
     """Records read, accepted and rejected of each raw source, as a run counts them."""
     out = None
@@ -260,7 +375,7 @@ def run_counters(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query(None)
+@query(f"select source_name, error_type, count(*) n from ({_outcomes()}) where error_type is not null group by 1, 2")
 def quarantine_by_error(spark: SparkSession, d: str) -> DataFrame:
     """How many raw records of each source are quarantined for which error."""
     out = None
@@ -316,10 +431,10 @@ def edge_merge(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select lower(trim(cited_work_id)) stub_id, count(*) n_edges from canonical_citations where trim(cited_work_id) <> '' and lower(trim(cited_work_id)) not in (select lower(trim(canonical_work_id)) from canonical_works where canonical_work_id is not null) group by 1")
 def stub_targets(spark: SparkSession, d: str) -> DataFrame:
-    """Cited works without a record, which ingestion would make stubs of; edges are counted per target before the join."""
-    cited = table(spark, d, "canonical_citations", "cited_work_id").select(tx.id_key(F.col("cited_work_id")).alias("stub_id")).where("stub_id is not null").groupBy("stub_id").agg(F.count("*").alias("n_edges"))
-    known = table(spark, d, "canonical_works", "canonical_work_id").select(tx.id_key(F.col("canonical_work_id")).alias("stub_id"))
-    return cited.join(known, "stub_id", "left_anti")
+    """Cited works without a record, which ingestion would make stubs of, with their edges."""
+    cited = table(spark, d, "canonical_citations", "cited_work_id").select(F.col("cited_work_id").alias("ref_id"), F.lit(None).cast("string").alias("period"))
+    works = table(spark, d, "canonical_works", "canonical_work_id").select(F.col("canonical_work_id").alias("target_id"), F.lit(None).cast("timestamp").alias("since"))
+    return orphans([Reference("canonical_citations", cited, works)]).select(F.col("missing_id").alias("stub_id"), F.col("n_rows").alias("n_edges"))
 
 
 @query("""select distinct observation_id, source_name, metric_name, metric_value from (select observation_id, source_name, 'citation_count' metric_name, cast(citation_count as double) metric_value from source_work_observations
@@ -328,13 +443,6 @@ def metrics_unpivot(spark: SparkSession, d: str) -> DataFrame:
     return unpivoted_metrics(table(spark, d, "source_work_observations", "observation_id", "source_name", "citation_count", "influential_citation_count").distinct())
 
 
-@query("""select lower(trim(identifier_type)) identifier_type, lower(trim(normalized_value)) normalized_value, arg_min(canonical_work_id, (created_at, canonical_work_id)) canonical_work_id from canonical_work_identifiers where trim(normalized_value) <> '' group by 1, 2""")
-def identifier_first_claim(spark: SparkSession, d: str) -> DataFrame:
-    """The work that claims each identifier first."""
-    i = table(spark, d, "canonical_work_identifiers")
-    return i.select(F.lower(F.trim("identifier_type")).alias("identifier_type"), F.lower(F.trim("normalized_value")).alias("normalized_value"), "canonical_work_id", "created_at").where("normalized_value <> ''").groupBy("identifier_type", "normalized_value").agg(F.min_by("canonical_work_id", F.struct("created_at", "canonical_work_id")).alias("canonical_work_id"))
-
-
 @query("""select 'canonical_citations' table_name, 'primary key' as rule, count(*) n from (select 1 from canonical_citations group by citing_work_id, cited_work_id having count(*) > 1)
 union all select 'canonical_work_identifiers', 'primary key', count(*) from (select 1 from canonical_work_identifiers group by identifier_type, normalized_value having count(*) > 1)
 union all select 'canonical_authors', 'primary key', count(*) from (select 1 from canonical_authors group by canonical_author_id having count(*) > 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from folioflow.operators import nested, orphans
-from folioflow.plans import reference
+from folioflow.plans import reference, resolution
 
 QUERIES = {
     "p2_found": nested.p2_found,
@@ -12,6 +12,7 @@ QUERIES = {
     "p5_found": orphans.p5_found,
     "p5_report": orphans.p5_report,
     **reference.QUERIES,
+    **resolution.QUERIES,
 }
 SQL = {
     "p2_found": nested.P2_FOUND_SQL,
@@ -19,4 +20,5 @@ SQL = {
     "p5_found": orphans.P5_FOUND_SQL,
     "p5_report": orphans.P5_REPORT_SQL,
     **reference.SQL,
+    **resolution.SQL,
 }

@@ -125,6 +125,12 @@ def parser_of(source: str) -> Parser:
     return _REGISTRY[source.lower()]
 
 
+def decoding_error(v: Column) -> tuple[Column, Column]:
+    """(error_type, error_message) of a line read as a variant: no JSON, no object, or null for none."""
+    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.when(v.isNull(), "MALFORMED_JSON").when(~is_object, "PARSER_EXCEPTION"), F.when(v.isNull(), "not JSON").when(~is_object, "not a JSON object")
+
+
 def parse(lines: DataFrame, source: str, line: str = "line") -> DataFrame:
     """lines with `work` (as WORK), `error_type` and `error_message`.
 
@@ -137,9 +143,8 @@ def parse(lines: DataFrame, source: str, line: str = "line") -> DataFrame:
     parts = empty | {"source_name": F.lit(source.lower())} | parts
     order = [f.split(":")[0] for f in ("source_name", "source_work_id", "title", "abstract", "publication_year", "publication_date", "normalized_doi", "normalized_arxiv_id", "raw_venue_name", "venue_issn", "venue_type", "citation_count", "influential_citation_count", "authors", "citations", "external_ids")]
     work = F.struct(*[parts[k].alias(k) for k in order]).cast(WORK)
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
-    kind_ = F.when(F.col("_v").isNull(), "MALFORMED_JSON").when(~is_object | error.isNotNull(), "PARSER_EXCEPTION")
-    said = F.when(F.col("_v").isNull(), "not JSON").when(~is_object, "not a JSON object").otherwise(error)
+    kind_, said = decoding_error(F.col("_v"))
+    kind_, said = F.coalesce(kind_, F.when(error.isNotNull(), "PARSER_EXCEPTION")), F.coalesce(said, error)
     return lines.withColumn("_v", F.try_parse_json(line)).withColumn("error_type", kind_).withColumn("error_message", F.when(F.col("error_type").isNotNull(), said)).withColumn("work", F.when(F.col("error_type").isNull(), work)).drop("_v")
 
 
