@@ -11,10 +11,12 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -134,44 +136,47 @@ def grams(tokens: list[str], n: int = 3) -> list[str]:
 
 
 class Index:
-    """An inverted index from n-grams to the entries of the list, weighted by rarity."""
+    """An inverted index from n-grams to the forms of the list's entries (name and acronym), weighted by rarity."""
 
     def __init__(self, entries: list[Entry]):
         self.entries = entries
+        forms = [(k, f) for k, e in enumerate(entries) for f in (e.words, [e.acronym] if e.acronym else []) if f]
+        self.owner = np.array([k for k, _ in forms], dtype=np.int64)
+        self.short = np.array([f == [entries[k].acronym] for k, f in forms], dtype=bool)
         posting: dict[str, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        for k, e in enumerate(entries):
-            for g in grams(e.words + ([e.acronym] if e.acronym else [])):
-                posting[g][k] += 1
-        n = max(1, len(entries))
+        for i, (_, f) in enumerate(forms):
+            for g in grams(f):
+                posting[g][i] += 1
+        n = max(1, len(forms))
         self.weight = {g: math.log(1 + n / len(p)) for g, p in posting.items()}
         self.rare = math.log(1 + n)
         norm = np.zeros(n)
         for g, p in posting.items():
-            for k, c in p.items():
-                norm[k] += (c * self.weight[g]) ** 2
+            for i, c in p.items():
+                norm[i] += (c * self.weight[g]) ** 2
         self.norm = np.sqrt(np.maximum(norm, 1e-12))
         self.posting = {g: (np.fromiter(p, dtype=np.int64), np.fromiter(p.values(), dtype=np.float64) * self.weight[g]) for g, p in posting.items()}
         self.vocabulary = {w for e in entries for w in e.words}
         self.begun = {w[:3] for w in self.vocabulary}
-        self.acronyms: dict[str, list[int]] = defaultdict(list)
-        for k, e in enumerate(entries):
-            if e.acronym:
-                self.acronyms[e.acronym].append(k)
-
-    def scores(self, tokens: list[str]) -> np.ndarray:
-        """The weighted cosine of tokens with every entry that shares an n-gram, 0 for the others."""
-        out = np.zeros(len(self.entries))
+
+    def scores(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(forms, cosines): the forms that share an n-gram with tokens and their weighted cosine with them."""
         own: dict[str, int] = defaultdict(int)
         for g in grams(tokens):
             own[g] += 1
-        norm = 0.0
+        norm, at, x = 0.0, [], []
         for g, c in own.items():
             w = self.weight.get(g)
             norm += (c * (w if w is not None else self.rare * 0.5)) ** 2
             if w is not None:
-                at, x = self.posting[g]
-                out[at] += c * w * x
-        return out / (self.norm * math.sqrt(max(norm, 1e-12)))
+                ids, values = self.posting[g]
+                at.append(ids)
+                x.append(values * (c * w))
+        if not at:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        forms, where = np.unique(np.concatenate(at), return_inverse=True)
+        dots = np.bincount(where, weights=np.concatenate(x))
+        return forms, dots / (self.norm[forms] * math.sqrt(max(norm, 1e-12)))
 
     def aligned(self, tokens: list[str], e: Entry) -> float:
         """How well tokens spell the words of e, 0 unless each word is there and nothing else is."""
@@ -208,13 +213,15 @@ class Index:
             content = [t for t in tokens if t not in IDLE] or tokens
             if not content:
                 continue
-            if len(content) == 1:
-                for k in self.acronyms.get(content[0], ()):
-                    out[k] = (1.0, 1.0)
-            s = self.scores(content)
-            for k in np.flatnonzero(s >= least).tolist():
-                if (fit := self.aligned(content, self.entries[k])) > 0:
-                    out[k] = max(out.get(k, (0.0, 0.0)), (fit, float(s[k])))
+            forms, cosines = self.scores(content)
+            for i, c in zip(forms[cosines >= least].tolist(), cosines[cosines >= least].tolist()):
+                k = int(self.owner[i])
+                if self.short[i]:
+                    fit = float(content == [self.entries[k].acronym])
+                else:
+                    fit = self.aligned(content, self.entries[k])
+                if fit > 0:
+                    out[k] = max(out.get(k, (0.0, 0.0)), (fit, c))
         return [(self.entries[k].key, fit, cosine) for k, (fit, cosine) in out.items()]
 
     def meant(self, value: str, least: float, margin: float) -> str:
@@ -228,9 +235,47 @@ class Index:
 _FITS = pa.schema([("value", pa.string()), ("key", pa.string()), ("fit", pa.float64()), ("cosine", pa.float64())])
 
 
-def _search(shared, least: float):
+@lru_cache(maxsize=2)
+def _built(key: object, make: Callable, rows: Shared) -> object:
+    return make(rows.value)
+
+
+class Shared:
+    """A broadcast of the rows of a block; what is built from them is built once in a worker, not by the driver."""
+
+    def __init__(self, broadcast):
+        self.broadcast, self.key = broadcast, uuid.uuid4().hex
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+    def built(self, make: Callable):
+        return _built(self.key, make, self)
+
+
+def in_blocks(rows: Iterator, size: int, spark: SparkSession, search: Callable[[Shared], DataFrame]) -> DataFrame:
+    """search() of each block of `size` rows, one block after the other, united.
+
+    Only one block is in memory and broadcast at a time: where there are several, what is
+    found for one is written before the next is read. An empty list is searched as one block.
+    """
+    out, block, more = None, list(islice(rows, size)), True
+    while more:
+        following = list(islice(rows, size))
+        more = bool(following)
+        shared = spark.sparkContext.broadcast(block)
+        one = search(Shared(shared))
+        if more or out is not None:
+            one = written(one, "found")
+            shared.destroy()
+        out, block = one if out is None else out.unionByName(one), following
+    return out
+
+
+def _search(shared: Shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = shared.built(lambda block: Index([entry(*r) for r in block]))
         for batch in batches:
             rows = [(v, *fit) for v in batch.column(0).to_pylist() for fit in index.fits(v, least)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_FITS)], schema=_FITS)
@@ -238,40 +283,32 @@ def _search(shared, least: float):
     return run
 
 
-#: Entries whose index is broadcast at once; a longer list is searched in further blocks.
+#: Entries whose index a worker holds at once; a longer list is searched in further blocks.
 BLOCK_ENTRIES = 20_000
 
 
-def canonical_entries(values: DataFrame, entries: DataFrame, least: float = 0.1, margin: float = 0.01) -> DataFrame:
+def canonical_entries(values: DataFrame, entries: DataFrame, least: float = 0.1, margin: float = 0.01, block: int = BLOCK_ENTRIES) -> DataFrame:
     """(value, key, fit, cosine): for each distinct value the entry it means, key "" when it means none.
 
-    values has the column value, entries has key, name and normalized. All entries
-    with a weighted cosine of `least` or more are candidates; one is accepted if its
-    words are all spelled (whole, shortened or with slips) and nothing else is, and if
-    it leads the next such entry by `margin`. Ties therefore mean none. Null and blank
-    values give no row; entries without a name are never meant; with an empty list all
-    values come out with "". Only the index of the list is broadcast, BLOCK_ENTRIES at a time.
+    values has the column value, entries has key, name and normalized. All entries of
+    which a form (name, or acronym) has a weighted cosine of `least` or more are
+    candidates; one is accepted if its words are all spelled (whole, shortened or with
+    slips) and nothing else is, and if it leads the next such entry by `margin`. Ties
+    therefore mean none. Null and blank values give no row; entries without a name are
+    never meant; with an empty list all values come out with "". Of the list, `block`
+    entries are broadcast at a time.
     """
     spark = values.sparkSession
     distinct = values.select(F.col("value").cast("string")).where(F.coalesce(strip(F.col("value")) != "", F.lit(False))).distinct()
-    block: list[Entry] = []
-    found = None
-
-    def searched() -> DataFrame:
-        one = distinct.mapInArrow(_search(spark.sparkContext.broadcast(Index(block)), least), "value string, key string, fit double, cosine double")
-        return one if found is None else found.unionByName(one)
-
     listed = entries.select("key", "name", "normalized").where("key is not null").groupBy("key").agg(F.min(F.struct("name", "normalized")).alias("x")).select("key", "x.*").orderBy("key")
-    for r in listed.toLocalIterator():
-        block.append(entry(r.key, r.name, r.normalized))
-        if len(block) == BLOCK_ENTRIES:
-            found, block = searched(), []
-    if block or found is None:
-        found = searched()
+    # Values are few bytes and much work each, so they are spread by number, not by size.
+    spread = written(distinct, "values")
+    spread = spread.repartition(max(spark.sparkContext.defaultParallelism, -(-spread.count() // 20_000)))
+    found = in_blocks((tuple(r) for r in listed.toLocalIterator()), block, spark, lambda shared: spread.mapInArrow(_search(shared, least), "value string, key string, fit double, cosine double"))
     best = F.slice(F.sort_array(F.collect_list(F.struct("fit", "cosine", "key")), asc=False), 1, 2)
     leads = (F.size("b") == 1) | (F.col("b")[0]["fit"] - F.try_element_at("b", F.lit(2))["fit"] >= margin) | (F.col("b")[0]["cosine"] - F.try_element_at("b", F.lit(2))["cosine"] >= margin)
     chosen = found.groupBy("value").agg(best.alias("b")).where(leads).select("value", F.col("b")[0]["key"].alias("key"), F.col("b")[0]["fit"].alias("fit"), F.col("b")[0]["cosine"].alias("cosine"))
-    return distinct.join(chosen, "value", "left").select("value", F.coalesce("key", F.lit("")).alias("key"), "fit", "cosine")
+    return spread.join(chosen, "value", "left").select("value", F.coalesce("key", F.lit("")).alias("key"), "fit", "cosine")
 
 
 def p1_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.llm.canonical import in_blocks
 from folioflow.operators.common import table
 
 #: Letters of other scripts that look like Latin ones, pair by pair.
@@ -68,15 +69,15 @@ SHINGLE = 5
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_hashes(ids: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for the SHINGLE words from each place on."""
-    n = len(ids) - SHINGLE + 1
+def shingle_hashes(ids: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """A 64-bit hash for the `size` words from each place on."""
+    n = len(ids) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     x = ids.astype(np.uint64)
     with np.errstate(over="ignore"):
         h = x[:n].copy()
-        for k in range(1, SHINGLE):
+        for k in range(1, size):
             h = h * _P + x[k : k + n]
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -85,6 +86,12 @@ def shingle_hashes(ids: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+def shingle_size(n_words: int, one_in: int) -> int:
+    """The words of a shingle for items of n_words: SHINGLE, or less where so few words may leave no longer run whole."""
+    changed = n_words // one_in
+    return max(1, min(SHINGLE, -(-(n_words - changed) // (changed + 1)))) if n_words < 2 * SHINGLE else SHINGLE
+
+
 def intact_shingles(n: int, one_in: int) -> int:
     """The fewest shingles left whole in n words or more of which one in `one_in` may be changed."""
     return min(max(1, m - SHINGLE + 1 - SHINGLE * (m // one_in)) for m in range(n, n + 4 * one_in))
@@ -97,69 +104,82 @@ def sketch_rate(n_words: int, least_words: int, one_in: int, miss: float = 1e-9)
     return 1.0 if rate > 0.5 else rate
 
 
+class Sketches:
+    """The sketches of the items of one shingle size: sorted hashes with the item and place of each."""
+
+    def __init__(self, size: int, items: list[tuple[int, np.ndarray]], least_words: int, one_in: int):
+        self.size = size
+        hashes, owners, places = [], [], []
+        for k, ids in items:
+            h = shingle_hashes(ids, size)
+            rate = sketch_rate(len(ids), least_words, one_in)
+            at = np.flatnonzero(h <= np.uint64(rate * float(2**64 - 2048)) if rate < 1 else np.ones(len(h), dtype=bool))
+            hashes.append(h[at])
+            owners.append(np.full(len(at), k))
+            places.append(at)
+        h = np.concatenate(hashes)
+        order = np.argsort(h, kind="stable")
+        self.hashes, self.owners, self.places = h[order], np.concatenate(owners)[order], np.concatenate(places)[order]
+        # a bit table in front of the search, of which at most a sixteenth is set, so that most places of a document cost one look-up
+        width = max(20, (16 * len(h)).bit_length())
+        self.shift = np.uint64(64 - width)
+        self.bits = np.zeros(1 << width, dtype=bool)
+        self.bits[(self.hashes >> self.shift).astype(np.int64)] = True
+
+    def hits(self, doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(place in doc, item, place in item) of each shingle of doc that an item's sketch holds."""
+        h = shingle_hashes(doc, self.size)
+        if not len(h):
+            return
+        at = np.flatnonzero(self.bits[(h >> self.shift).astype(np.int64)])
+        lo = np.searchsorted(self.hashes, h[at], side="left")
+        hi = np.searchsorted(self.hashes, h[at], side="right")
+        for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+            for i in range(a, b):
+                yield p, int(self.owners[i]), int(self.places[i])
+
+
 class Index:
-    """The sketches of a block of items: sorted hashes with the item and place of each."""
+    """A block of items partitioned by size: those of a class have one shingle size and one sketch."""
 
     def __init__(self, items: list[tuple[int, str]], least_words: int, one_in: int):
         self.least, self.one_in = least_words, one_in
         self.ids = [i for i, _ in items]
         self.vocabulary = _Vocabulary()
         self.words: list[np.ndarray] = []
-        hashes, owners, places = [], [], []
+        classes: dict[int, list] = {}
         for k, (_, text) in enumerate(items):
             own = [w if w.isalpha() or w.isdigit() else w.translate(_DIGITS) for w in words(text)]
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in own], dtype=np.int64)
             self.words.append(ids)
-            h = shingle_hashes(ids)
-            rate = sketch_rate(len(ids), least_words, one_in)
-            at = np.flatnonzero(h <= np.uint64(rate * float(2**64 - 2048)) if rate < 1 else np.ones(len(h), dtype=bool))
-            hashes.append(h[at])
-            owners.append(np.full(len(at), k))
-            places.append(at)
-        h = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.owners, self.places = h[order], np.concatenate(owners)[order] if hashes else h, np.concatenate(places)[order] if hashes else h
-        # a bit table in front of the search, so that most places of a document cost one look-up
-        self.bits = np.zeros(1 << 20, dtype=bool)
-        self.bits[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
-        self.short = [k for k, w in enumerate(self.words) if 0 < len(w) < SHINGLE]
+            if len(ids):
+                classes.setdefault(shingle_size(len(ids), one_in), []).append((k, ids))
+        self.sketches = [Sketches(size, own, least_words, one_in) for size, own in sorted(classes.items())]
 
     def found(self, doc: np.ndarray) -> set[int]:
         """The items that doc (word ids) holds wholly or in a part that counts."""
         out: set[int] = set()
-        for k in self.short:
-            w = self.words[k]
-            n = len(doc) - len(w) + 1
-            if n > 0 and np.all([doc[j : j + n] == w[j] for j in range(len(w))], axis=0).any():
-                out.add(k)
-        h = shingle_hashes(doc)
-        if not len(h):
-            return out
-        at = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
-        lo = np.searchsorted(self.hashes, h[at], side="left")
-        hi = np.searchsorted(self.hashes, h[at], side="right")
-        done: dict[tuple[int, int], int] = {}  # (item, diagonal) to the end in doc of what was looked at
-        for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-            for i in range(a, b):
-                k, q = int(self.owners[i]), int(self.places[i])
+        for sketch in self.sketches:
+            done: dict[tuple[int, int], int] = {}  # (item, diagonal) to the end in doc of what was looked at
+            for p, k, q in sketch.hits(doc):
                 if k in out or done.get((k, p - q), -1) >= p:
                     continue
-                ok, end = self._verify(doc, p, self.words[k], q)
+                ok, end = self._verify(doc, p, self.words[k], q, sketch.size)
                 done[k, p - q] = end
                 if ok:
                     out.add(k)
         return out
 
-    def _verify(self, doc: np.ndarray, p: int, item: np.ndarray, q: int) -> tuple[bool, int]:
+    def _verify(self, doc: np.ndarray, p: int, item: np.ndarray, q: int, size: int) -> tuple[bool, int]:
         """Whether enough words of item around the seed stand in doc in a row; the end in doc of the seed's run."""
         d, w = doc, item
         n, m = len(d), len(w)
-        i, j = p + SHINGLE, q + SHINGLE
+        i, j = p + size, q + size
         if not np.array_equal(d[p:i], w[q:j]):
             return False, p
         while i < n and j < m and d[i] == w[j]:
             i, j = i + 1, j + 1
-        end = i - SHINGLE
+        end = i - size
         need = min(self.least, m)
         right = self._extend(d[i : i + m + 16].tolist(), w[j:].tolist())
         a, b = p, q
@@ -168,6 +188,9 @@ class Index:
         left = self._extend(d[max(0, a - m - 16) : a][::-1].tolist(), w[:b][::-1].tolist())
         steps = left[::-1] + [1] * (i - a) + right
         # steps: 1 a word that stands there, 0 a word of the item changed or left out, -1 a word put in.
+        if m < self.least:  # an item that counts as a whole only: what its ends lack is changed or left out
+            errors = m - sum(s == 1 for s in steps) + sum(s == -1 for s in steps)
+            return errors * self.one_in <= m, end
         # A part counts when it begins and ends with words that stand there and 8 times its errors are no more than its words.
         length = errors = 0
         before: list[tuple[int, int]] = []  # (words so far, balance) at each place where a part may begin
@@ -200,7 +223,8 @@ class Index:
             errors += 1
             if errors > 2 + len(w) // self.one_in:
                 break
-            change, added, missing = d[i + 1 : i + 3] == w[j + 1 : j + 3], d[i + 1 : i + 3] == w[j : j + 2], d[i : i + 2] == w[j + 1 : j + 3]
+            now, then = w[j : j + 2], w[j + 1 : j + 3]  # at the item's end fewer than two words must do
+            change, added, missing = d[i + 1 : i + 1 + len(then)] == then, d[i + 1 : i + 1 + len(now)] == now, bool(then) and d[i : i + len(then)] == then
             if change or not (added or missing):
                 out.append(0)
                 i, j = i + 1, j + 1
@@ -220,9 +244,9 @@ class Index:
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64())])
 
 
-def _scan(index_of):
+def _scan(shared, least_words: int, one_in: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = index_of.value
+        index = shared.built(lambda block: Index(block, least_words, one_in))
         look = index.vocabulary.__getitem__
         for batch in batches:
             docs, items = [], []
@@ -236,29 +260,23 @@ def _scan(index_of):
     return run
 
 
-#: Items whose sketches are broadcast at once; more items are searched for in further blocks.
+#: Items whose sketches a worker holds at once; more items are searched for in further blocks.
 BLOCK_ITEMS = 20_000
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, least_words: int = 15, one_in: int = 8) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, least_words: int = 15, one_in: int = 8, block: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id): the documents that hold an item wholly or at least least_words of its words in a row.
 
     Up to one word in `one_in` may be changed, left out or put in within that part.
     Letter case, punctuation, markup, layout, invisible and look-alike characters do
     not matter. Items of fewer words than least_words count only as a whole. Null and
     empty texts on either side, and items without a word, give no row. Repeated rows
-    give one. Documents are neither moved nor cut; only the items' sketches are
-    broadcast, BLOCK_ITEMS at a time, and each block is searched for in all documents.
+    give one. Documents are neither moved nor cut; of the items, `block` are broadcast at
+    a time, and each block is searched for in all documents.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").where("text is not null")
-    query = [(r.item_id, r.text) for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().orderBy("item_id", "text").toLocalIterator()]
-    out = None
-    for at in range(0, max(1, len(query)), BLOCK_ITEMS):
-        index = spark.sparkContext.broadcast(Index(query[at : at + BLOCK_ITEMS], least_words, one_in))
-        one = rows.mapInArrow(_scan(index), "doc_id bigint, item_id bigint")
-        out = one if out is None else out.unionByName(one)
-    return out.distinct()
+    query = items.select("item_id", "text").where("item_id is not null and text is not null").distinct().orderBy("item_id", "text").toLocalIterator()
+    return in_blocks(((r.item_id, r.text) for r in query), block, docs.sparkSession, lambda shared: rows.mapInArrow(_scan(shared, least_words, one_in), "doc_id bigint, item_id bigint")).distinct()
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

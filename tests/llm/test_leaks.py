@@ -39,7 +39,8 @@ def test_planted_parts(spark):
     put(change(items[3][1][7:22], {7}), 3)
     put(items[3][1][7:21], None)  # fourteen words
     put(change(items[3][1][7:22], {3, 7, 11}), None)  # three of fifteen
-    put(items[0][1][:9], None)  # a short item counts as a whole only
+    put(items[0][1][:9], 0)  # one of ten, the last, is another
+    put(items[0][1][:8], None)  # a short item counts as a whole only
     put(items[4][1][:20] + ["put"] + items[4][1][20:40], 4)
     put(items[4][1][:20] + items[4][1][21:40], 4)
     assert run(spark, docs, [(k, " ".join(w)) for k, w in items]) == due
@@ -62,6 +63,29 @@ def test_nulls_empties_copies_and_long_texts(spark):
     assert run(spark, [], [(1, text)]) == set() and run(spark, docs, []) == set()
 
 
+def test_short_items_with_a_changed_word(spark):
+    rng = random.Random(8)
+    items = [(n, passage(rng, n)) for n in (1, 2, 4, 5, 7, 8, 9, 11, 14)]
+    docs, due = [], set()
+    for n, w in items:
+        for k in range(n):
+            for new in (["changed"], [], ["put", w[k]]):
+                docs.append((len(docs), " ".join(["before"] * 9 + w[:k] + new + w[k + 1 :] + ["behind"] * 9)))
+                if n >= 8:  # one word in eight; a word put in before the first or behind the last is no change
+                    due.add((len(docs) - 1, n))
+                elif new[:1] == ["put"] and k == 0:
+                    due.add((len(docs) - 1, n))
+    found = run(spark, docs, [(n, " ".join(w)) for n, w in items])
+    assert {x for x in found if x[1] > 2} == {x for x in due if x[1] > 2}
+
+
+def test_blocks_of_items_find_the_same(spark):
+    rng = random.Random(9)
+    items = [(k, " ".join(passage(rng, 20))) for k in range(7)]
+    docs = [(k, t) for k, t in items] + [(9, items[3][1] + " and " + items[5][1])]
+    assert run(spark, docs, items, block=3) == run(spark, docs, items) == {(k, k) for k in range(7)} | {(9, 3), (9, 5)}
+
+
 def test_rates_keep_small_parts_whole():
     assert L.sketch_rate(100, 15, 8) == 1.0 and L.intact_shingles(15, 8) == 2
     assert L.sketch_rate(400, 300, 10**6) < 0.2

@@ -25,6 +25,7 @@ def test_mapping(spark):
     values = spark.createDataFrame([("PrepNest", 1), ("PrepNest", 1), (" ", 1), (None, 1), ("nothing known", 1), ("Harmonic Forestry", 1)], "value string, key int")
     got = {r.value: r.key for r in canonical.canonical_entries(values, e).collect()}
     assert got == {"PrepNest": "v5", "nothing known": "", "Harmonic Forestry": ""}
+    assert {r.value: r.key for r in canonical.canonical_entries(values, e, block=2).collect()} == got
     assert {r.key for r in canonical.canonical_entries(values, e.limit(0)).collect()} == {""}
     assert canonical.canonical_entries(values.limit(0), e).count() == 0
     twins = spark.createDataFrame([("a", "Same Name", None), ("b", "Same Name", None)], "key string, name string, normalized string")
@@ -46,6 +47,14 @@ def test_usable_abstracts(spark):
     assert got == [True, True, True] + [False] * 10 + [True, True]
 
 
+def test_ends_that_are_cut_off(spark):
+    ends = ["and more.", "and nothing more!", "Read more.", "(more)", "[more]", "one more.", "read more", "[...]", "spread more."]
+    df = spark.createDataFrame([(i, "We discuss ten tasks. " + e, "A title") for i, e in enumerate(ends)], "i int, a string, t string")
+    text = survivors.unmarked(F.col("a"))
+    got = [r.ok for r in df.select("i", survivors.real_abstract(text, survivors.plain(text), survivors.plain(F.col("t"))).alias("ok")).orderBy("i").collect()]
+    assert got == [True, True, False, False, False, True, False, False, True]
+
+
 def test_long_bare_titles_are_no_abstracts(spark):
     title = "A long title of many words " * 20 + "ends here."
     df = spark.createDataFrame([(0, title, title), (1, title.replace("ends", "ensd"), title), (2, GOOD * 12, title)], "i int, a string, t string")
