@@ -78,12 +78,12 @@ def hot_keys(df: DataFrame, key: str, total: int, n: Column | None = None) -> Da
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(n if n is not None else F.lit(1)).alias("_n")).where(F.col("_n") > least).select(key)
 
 
-def spread_join(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """rows joined with facts, which has each key once: the rows of the hot keys by broadcast, the others by shuffle.
 
-    hot has the keys that hold more than one row in HOT_SHARE, so it is small by counting.
+    hot has the keys that hold more than one row in HOT_SHARE, so it is small by counting; None stands for none.
     """
-    if hot.isEmpty():
+    if hot is None or hot.isEmpty():
         return rows.join(facts.hint("shuffle_hash"), key, how)
     hot = F.broadcast(hot)
     by_broadcast = rows.join(hot, key, "left_semi").join(F.broadcast(facts.join(hot, key, "left_semi")), key, how)
