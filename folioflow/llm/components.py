@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import id_key
-from folioflow.operators.common import hot_keys, table, written
+from folioflow.operators.common import HOT_SHARE, hot_keys, removed, spread_join, table, written
 
 #: What stands for "no identifier" once lower-cased and stripped.
 STAND_INS = ("", "none", "null", "n/a", "unknown", "0", "-")
@@ -27,7 +27,23 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("w")))
 
 
-def _compress(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+def _hubs(counted: DataFrame, key: str, total: int) -> DataFrame | None:
+    """The keys of counted (key, n) that hold more than one row in HOT_SHARE of total; None where there are none.
+
+    By counting there are fewer than HOT_SHARE of them, so they may go through the driver.
+    """
+    rows = counted.where(F.col("n") > max(1000, total // HOT_SHARE)).select(key).collect()
+    return counted.sparkSession.createDataFrame(rows, counted.select(key).schema) if rows else None
+
+
+def _without(edges: DataFrame, gone: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """Edges of which neither end is gone (v); those of hubs are spread."""
+    for end in ("a", "b"):
+        edges = spread_join(edges, gone.select(F.col("v").alias(end)), end, None if hubs is None else hubs.select(F.col("v").alias(end)), "left_anti")
+    return edges.select("a", "b")
+
+
+def _compress(edges: DataFrame, hubs: DataFrame | None = None) -> tuple[DataFrame, DataFrame] | None:
     """Chains of degree-two vertices replaced by one edge each: (edges, hung), or None where there is none.
 
     hung has (v, onto): the removed vertices and the vertex whose label they take.
@@ -39,35 +55,34 @@ def _compress(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     if inner.isEmpty():
         return None
     # A dart goes out of v over its first or second side; it walks on while the vertex it reaches is inner.
-    darts = inner.select("v", F.explode(F.array(F.struct(F.col("w2").alias("back"), F.col("w1").alias("to")), F.struct(F.col("w1").alias("back"), F.col("w2").alias("to")))).alias("x")).select("v", F.col("x.back").alias("back"), F.col("x.to").alias("to"))
-    is_inner = inner.select(F.col("v").alias("to"), F.lit(True).alias("goes_on"))
+    darts = inner.select("v", F.explode(F.array("w1", "w2")).alias("to"))
     # (v, to): the dart; (at, then): the dart it has got to, then null once `at` is an end; least: smallest vertex passed; rank: steps taken.
-    state = darts.join(is_inner, "to", "left")
     nxt = inner.select(F.col("v").alias("to"), "w1", "w2")
-    state = state.join(nxt, "to", "left").select("v", "to", F.col("to").alias("at"), F.when(F.col("goes_on"), F.when(F.col("w1") == F.col("v"), F.col("w2")).otherwise(F.col("w1"))).alias("then"), F.least("v", "to").alias("least"), F.lit(1).cast("bigint").alias("rank"))
+    state = spread_join(darts, nxt, "to", None if hubs is None else hubs.select(F.col("v").alias("to")), "left").select("v", "to", F.col("to").alias("at"), F.when(F.col("w1").isNotNull(), F.when(F.col("w1") == F.col("v"), F.col("w2")).otherwise(F.col("w1"))).alias("then"), F.least("v", "to").alias("least"), F.lit(1).cast("bigint").alias("rank"))
     state = written(state, "darts")
+    ended = -1
     while True:
         other = state.select(F.col("v").alias("at"), F.col("to").alias("then"), F.col("at").alias("at2"), F.col("then").alias("then2"), F.col("least").alias("least2"), F.col("rank").alias("rank2"))
         walking = state.where("then is not null")
         moved = walking.join(other, ["at", "then"]).select("v", "to", F.col("at2").alias("at"), F.col("then2").alias("then"), F.least("least", "least2").alias("least"), (F.col("rank") + F.col("rank2")).alias("rank"), (F.least("least", "least2") < F.col("least")).alias("moved"))
         new = written(moved.unionByName(state.where("then is null").withColumn("moved", F.lit(False))), "darts")
-        left = new.agg(F.count_if(F.col("moved") | F.col("then").isNull()).alias("n"), F.count_if(F.col("then").isNull()).alias("ended")).first()
-        before = state.where("then is null").count()
-        any_moved = not new.where("moved").isEmpty()
+        now = new.agg(F.count_if("moved").alias("moved"), F.count_if(F.col("then").isNull()).alias("ended")).first()
+        removed(state)
         state = new.drop("moved")
-        if left["ended"] == before and not any_moved:
+        if now["ended"] == ended and not now["moved"]:
             break
+        ended = now["ended"]
     # An ended dart: `at` is the end (not inner). Both darts of a chain vertex are ended, or both go round a cycle.
     ends = state.where("then is null").groupBy("v").agg(F.min("at").alias("e1"), F.max("at").alias("e2"))
     cycles = state.where("then is not null").groupBy("v").agg(F.min("least").alias("onto"))
     hung = ends.select("v", F.col("e1").alias("onto")).unionByName(cycles.where("v <> onto"))
-    gone = inner.select("v")
-    kept = edges.join(gone.withColumnRenamed("v", "a"), "a", "left_anti").join(gone.withColumnRenamed("v", "b"), "b", "left_anti").select("a", "b")
     bridged = ends.select(F.col("e1").alias("a"), F.col("e2").alias("b")).where("a < b")
-    return written(_canonical(kept.unionByName(bridged)), "edges"), written(hung, "hung")
+    left = written(_canonical(_without(edges, inner, hubs).unionByName(bridged)), "edges"), written(hung, "hung")
+    removed(state)
+    return left
 
 
-def _strip(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+def _strip(edges: DataFrame, hubs: DataFrame | None = None) -> tuple[DataFrame, DataFrame] | None:
     """Degree-one vertices removed: (edges, hung), or None where there is none. Of a lone pair the larger goes."""
     degree = _both_ways(edges).groupBy("v").agg(F.count("*").alias("d"), F.min("w").alias("onto"))
     leaves = degree.where("d = 1").select("v", "onto")
@@ -75,21 +90,23 @@ def _strip(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     leaves = written(leaves.join(twin, ["v", "onto"], "left").where("pair is null or v > onto").select("v", "onto"), "hung")
     if leaves.isEmpty():
         return None
-    kept = edges.join(leaves.select(F.col("v").alias("a")), "a", "left_anti").join(leaves.select(F.col("v").alias("b")), "b", "left_anti").select("a", "b")
-    return written(kept, "edges"), leaves
+    return written(_without(edges, leaves, hubs), "edges"), leaves
 
 
 def _stars(edges: DataFrame) -> DataFrame:
     """(v, label) of the core by alternating large-star and small-star steps; label is the smallest of the component."""
     arcs = written(edges.select(F.col("b").alias("v"), F.col("a").alias("w")), "star")  # w < v
+    total = arcs.count()
     while True:
         both = arcs.unionByName(arcs.select(F.col("w").alias("v"), F.col("v").alias("w")))
-        least = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.join(least, "v").where("w > v").select(F.col("w").alias("v"), F.col("m").alias("w")).where("v > w").distinct()
-        least = large.groupBy("v").agg(F.min("w").alias("m"))
-        small = large.join(least, "v").select(F.col("w").alias("v"), F.col("m").alias("w")).where("v > w").unionByName(least.select("v", F.col("m").alias("w"))).distinct()
+        least = written(both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("n")).select("v", F.least("v", "m").alias("m"), "n"), "least")
+        large = written(spread_join(both, least.select("v", "m"), "v", _hubs(least, "v", total)).where("w > v").select(F.col("w").alias("v"), F.col("m").alias("w")).where("v > w").distinct(), "large")
+        small_least = written(large.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("n")), "least")
+        small = spread_join(large, small_least.select("v", "m"), "v", _hubs(small_least, "v", total)).select(F.col("w").alias("v"), F.col("m").alias("w")).where("v > w").unionByName(small_least.select("v", F.col("m").alias("w"))).distinct()
         new = written(small, "star")
         same = arcs.exceptAll(new).isEmpty() and new.exceptAll(arcs).isEmpty()
+        for t in (arcs, least, large, small_least):
+            removed(t)
         arcs = new
         if same:
             break
@@ -103,30 +120,35 @@ def connected_components(edges: DataFrame, core_rounds: int = 64) -> DataFrame:
     Self-loops, repeated edges, edges given in both directions and edges with a null
     end add nothing; a vertex that has only such edges is in no row. No edges give
     no rows. core_rounds bounds the reductions before the core is solved, not the
-    result: whatever is left then is solved by star contraction.
+    result: whatever is left then is solved by star contraction. The edges of a hub (a
+    vertex with more than one in HOT_SHARE of all) are never joined in one task.
     """
     edges = written(_canonical(edges.where("a is not null and b is not null")), "edges")
-    removed: list[DataFrame] = []
+    total = edges.count()
+    # Reductions only take edges from a vertex, so these are the hubs of every round.
+    hubs = _hubs(_both_ways(edges).groupBy("v").agg(F.count("*").alias("n")), "v", total)
+    hung_of: list[DataFrame] = []
     for _ in range(core_rounds):
         if edges.isEmpty():
             break
         changed = False
         for step in (_strip, _compress):
-            done = step(edges)
+            done = step(edges, hubs)
             if done:
+                removed(edges)
                 edges, hung = done
-                removed.append(hung)
+                hung_of.append(hung)
                 changed = True
         if not changed:
             break
-    nothing = removed[0].select("v", F.col("v").alias("label")).limit(0) if removed else edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    nothing = hung_of[0].select("v", F.col("v").alias("label")).limit(0) if hung_of else edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
     labels = nothing if edges.isEmpty() else written(_stars(edges), "labels")
-    for hung in reversed(removed):  # what a vertex hangs on has its label by now, or is a root of its own
+    for hung in reversed(hung_of):  # what a vertex hangs on has its label by now, or is a root of its own
         onto = hung.select(F.col("onto").alias("v")).distinct().join(labels, "v", "left_anti").select("v", F.col("v").alias("label"))
         labels = labels.unionByName(onto)
-        labels = written(labels.unionByName(hung.join(labels.withColumnRenamed("v", "onto"), "onto").select("v", "label")), "labels")
-    least = labels.groupBy("label").agg(F.min("v").alias("group_id"))
-    return labels.join(least, "label").select("v", "group_id")
+        labels = written(labels.unionByName(spread_join(hung, labels.select(F.col("v").alias("onto"), "label"), "onto", None if hubs is None else hubs.select(F.col("v").alias("onto"))).select("v", "label")), "labels")
+    least = written(labels.groupBy("label").agg(F.min("v").alias("group_id"), F.count("*").alias("n")), "groups")
+    return spread_join(labels, least.select("label", "group_id"), "label", _hubs(least, "label", total)).select("v", "group_id")
 
 
 def shared_value_edges(rows: DataFrame, keys: list[str], member: str, total: int) -> DataFrame:

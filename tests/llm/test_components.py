@@ -70,3 +70,11 @@ def test_a_hot_value_is_one_star(spark):
     df = spark.createDataFrame(rows, "identifier_type string, normalized_value string, canonical_work_id string")
     got = C.work_groups(df).collect()
     assert len(got) == 3000 and {r.group_id for r in got} == {"w00000"}
+
+
+def test_a_hub_with_a_third_of_the_edges(spark):
+    edges = [("hub", f"l{i:04d}") for i in range(1500)] + [(f"l{i:04d}", f"l{i + 1:04d}") for i in range(0, 600, 2)] + [(f"c{i:04d}", f"c{i + 1:04d}") for i in range(0, 2800) if i % 7] + [("hub", "c0001"), ("m1", "m2"), ("m2", "hub")]
+    assert C._hubs(spark.createDataFrame([("hub", 1502), ("x", 3)], "v string, n bigint"), "v", len(edges)).count() == 1
+    assert run(spark, edges) == union_find(edges)
+    core = [(f"h{i % 2}", f"v{i:04d}") for i in range(2400)] + [(f"v{i:04d}", f"v{i + 3:04d}") for i in range(0, 2390)]
+    assert run(spark, core) == union_find(core)
