@@ -198,12 +198,12 @@ WORD_FAMILY, WORDS, TITLE, FAMILY_DAY, WORD = range(5)
 #: Titles of more words meet over single ones; those from LONG on do so too.
 LONG, LONGEST = 14, 26
 #: Words of a title, and words of authors' names, whose fingerprints (of 16 and 8 bits) a row of a key bears.
-PRINTS, NAME_PRINTS = 8, 16
-_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
-_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, own bigint, size smallint, more smallint, rule byte"
+PRINTS, NAME_PRINTS = 8, 24
+_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("q3", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
+_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), *list(_ROW)[:1], *list(_ROW)[2:]])
-_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, own bigint, size smallint, more smallint, rule byte"
-_SIDE = ("p1", "p2", "q1", "q2", "own", "size", "more")
+_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
+_SIDE = ("p1", "p2", "q1", "q2", "q3", "own", "size", "more")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -256,7 +256,7 @@ def attributes(shared):
                 prints = np.where(valid, np.maximum(_mixed(w[:, :PRINTS]) >> np.uint64(48), np.uint64(1)), np.uint64(0)).astype(np.uint16)
                 p = np.ascontiguousarray(prints).view(np.int64)
                 q = b"".join([x.ljust(NAME_PRINTS, b"\0") if len(x) <= NAME_PRINTS else bytes(NAME_PRINTS) for x in batch.column(5).to_pylist()])
-                q = np.frombuffer(q, dtype=np.int64).reshape(-1, 2)
+                q = np.frombuffer(q, dtype=np.int64).reshape(-1, NAME_PRINTS // 8)
                 fat = np.repeat(rows, fsize)
                 own = np.zeros(len(n), dtype=np.uint64)
                 np.bitwise_or.at(own, fat, np.uint64(1) << (families.view(np.uint64) & np.uint64(63)))
@@ -293,7 +293,7 @@ def attributes(shared):
                 put(FAMILY_DAY, _key(FAMILY_DAY, first, day.fill_null(0).to_numpy()[ok].astype(np.int64).view(np.uint64)), ok)
                 of_ = np.concatenate(of)
                 limit = lambda x: np.minimum(x, 2**15 - 1).astype(np.int16)
-                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], q[of_, 0], q[of_, 1], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
+                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], q[of_, 0], q[of_, 1], q[of_, 2], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, _ROW)], schema=_ROW)
 
     return run
@@ -306,9 +306,9 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
     bound is never below the number of common words. Lists of names with more words than
     fit (and empty ones) count as if they had one in common.
     """
-    (a1, a2, qa1, qa2, own_a, size_a, more_a), (b1, b2, qb1, qb2, own_b, size_b, more_b) = x, y
-    prints = lambda p, q, kind: np.stack([p, q], 1).view(kind)
-    a, b = prints(a1, a2, np.uint16), prints(b1, b2, np.uint16)
+    (a1, a2, *qa, own_a, size_a, more_a), (b1, b2, *qb, own_b, size_b, more_b) = x, y
+    prints = lambda kind, *p: np.stack(p, 1).view(kind)
+    a, b = prints(np.uint16, a1, a2), prints(np.uint16, b1, b2)
     common = more_a.astype(np.int32) + more_b
     for k in range(PRINTS):
         one = a[:, k]
@@ -316,19 +316,21 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
     short = np.minimum(size_a, size_b)
     alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
     ok = (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
-    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & (qa1 != 0) & (qb1 != 0))
+    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & (qa[0] != 0) & (qb[0] != 0))
     if len(doubt):
-        a, b = prints(qa1[doubt], qa2[doubt], np.uint8), prints(qb1[doubt], qb2[doubt], np.uint8)
+        a, b = prints(np.uint8, *(q[doubt] for q in qa)), prints(np.uint8, *(q[doubt] for q in qb))
         shared = np.zeros(len(doubt), dtype=bool)
         for k in range(NAME_PRINTS):
-            one = a[:, k]
-            shared |= (b == one[:, None]).any(1) & (one != 0)
+            open_ = np.flatnonzero(~shared & (a[:, k] != 0))
+            if not len(open_):
+                break
+            shared[open_] = (b[open_] == a[open_, k][:, None]).any(1)
         ok[doubt[~shared]] = False
     # Equal titles meet as such, once, and need no other key: all their words have a fingerprint.
     every = lambda p, size, more: ((p != 0).sum(1) == size) & (more == 0)
     twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (a1 == b1) & (a2 == b2) & (size_a == size_b))
     if len(twin):
-        ok[twin[every(prints(a1[twin], a2[twin], np.uint16), size_a[twin], more_a[twin] + more_b[twin])]] = False
+        ok[twin[every(prints(np.uint16, a1[twin], a2[twin]), size_a[twin], more_a[twin] + more_b[twin])]] = False
     return ok
 
 
@@ -376,7 +378,7 @@ def _met(block: int):
                 for k in range(0, len(of_size), step):
                     at = of_size[k : k + step]
                     x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    ok = _possible([c[x] for c in cols[2:9]], [c[y] for c in cols[2:9]], cols[9][x])
+                    ok = _possible([c[x] for c in cols[2:10]], [c[y] for c in cols[2:10]], cols[10][x])
                     a, b = cols[1][x[ok]], cols[1][y[ok]]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
@@ -388,7 +390,7 @@ def _met(block: int):
                 yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
             if rest:
                 rows = np.concatenate(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, 2, 3, 4, 5, 6, 7, 8, 9), list(_MET)[2:]))], schema=_MET)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, *range(2, 11)), list(_MET)[2:]))], schema=_MET)
 
     return run
 
@@ -404,7 +406,7 @@ def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
         for k in range(0, len(c[0]), _AT_ONCE):
             d = [x[k : k + _AT_ONCE] for x in c]
-            ok = _possible(d[3:10], d[10:17], d[0])
+            ok = _possible(d[3:11], d[11:19], d[0])
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[1], d[2])[ok]), pa.array(np.maximum(d[1], d[2])[ok])], names=["a", "b"])
 
 

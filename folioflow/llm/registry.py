@@ -17,7 +17,10 @@ QUERIES = {
     "p6_values": survivors.p6_values,
     "p7_found": matching.p7_found,
     "p7_pairs": matching.p7_pairs,
+    "p7_links": matching.p7_links,
+    "p7_members": matching.p7_members,
     "p8_ids": tokens.p8_ids,
+    "p8_reuse": tokens.p8_reuse,
     "p9_found": leaks.p9_found,
     "p9_report": leaks.p9_report,
     "p10_pieces": tokens.p10_pieces,

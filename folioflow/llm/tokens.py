@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.operators.common import BROADCAST_BYTES, disk_bytes, table
+from folioflow.operators.common import BROADCAST_BYTES, disk_bytes, hot_keys, spread_join, table, written
 
 #: Fixed value: the word pattern of byte_bpe_50k.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -110,12 +110,13 @@ def chunk_ends(text: str, least: int, mean: int, most: int) -> list[tuple[int, b
     return out
 
 
-#: cut: 1 when a chunk starts at a hard cut, 2 when it ends in one, 3 for both.
-_CHUNK = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("cut", pa.int8()), ("h", pa.int64()), ("text", pa.string())])
-_IDS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("cut", pa.int8()), ("ids", pa.binary()), ("text", pa.string())])
+#: cut: 1 when a chunk starts at a hard cut, 2 when it ends in one, 3 for both. text: of the first of equal chunks in a task, and where cut is not 0.
+_CHUNK = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("cut", pa.int8()), ("h", pa.binary()), ("size", pa.int32()), ("text", pa.string())])
+_CODES = pa.schema([("h", pa.binary()), ("ids", pa.binary())])
 _DOC = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 _BATCH_BYTES = 4 << 20
-_KNOWN_BYTES = 32 << 20  # what one worker remembers of the chunks it has encoded
+#: Hashes of chunks that a task remembers to send each text once; beyond, it forgets and sends some again.
+_KNOWN = 1 << 20
 
 
 def _batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
@@ -124,6 +125,7 @@ def _batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
 
 def _chunk(least: int, mean: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
         for batch in batches:
             columns: list[list] = [[] for _ in _CHUNK]
             size = 0
@@ -132,10 +134,14 @@ def _chunk(least: int, mean: int, most: int):
                 start, before = 0, 0
                 for seq, (end, sure) in enumerate(chunk_ends(text, least, mean, most)):
                     piece = text[start:end]
-                    row = (uid, doc_id, seq, before | (0 if sure else 2), xxhash.xxh3_64_intdigest(piece.encode("utf-8")) - (1 << 63), piece)
-                    for c, v in zip(columns, row):
+                    h, cut = xxhash.xxh3_128_digest(piece.encode("utf-8")), before | (0 if sure else 2)
+                    kept = piece if cut or h not in sent else None
+                    if len(sent) > _KNOWN:
+                        sent.clear()
+                    sent.add(h)
+                    for c, v in zip(columns, (uid, doc_id, seq, cut, h, len(piece), kept)):
                         c.append(v)
-                    start, before, size = end, 0 if sure else 1, size + len(piece)
+                    start, before, size = end, 0 if sure else 1, size + len(kept or "")
                 if size > _BATCH_BYTES:
                     yield _batch(_CHUNK, columns)
                     columns, size = [[] for _ in _CHUNK], 0
@@ -146,25 +152,20 @@ def _chunk(least: int, mean: int, most: int):
 
 
 def _encode(path: str):
+    """(h, text) sorted by h into (h, ids), each h once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         kind = np.uint16 if enc.n_vocab <= 1 << 16 else np.uint32
-        known: dict[str, bytes] = {}
-        size = 0
+        last = None
         for batch in batches:
-            uid, doc_id, seq, cut, texts = batch.columns
-            texts, out = texts.to_pylist(), []
-            for t in texts:
-                ids = known.get(t)
-                if ids is None:
-                    ids = np.array(enc.encode_ordinary(t), dtype=kind).tobytes()
-                    if size > _KNOWN_BYTES:
-                        known, size = {}, 0
-                    known[t] = ids
-                    size += len(t) + len(ids)
-                out.append(ids)
-            kept = [t if c else None for t, c in zip(texts, cut.to_pylist())]
-            yield pa.RecordBatch.from_arrays([uid, doc_id, seq, cut, pa.array(out, pa.binary()), pa.array(kept, pa.string())], schema=_IDS)
+            hashes, ids = [], []
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if h != last:
+                    hashes.append(h)
+                    ids.append(np.array(enc.encode_ordinary(t), dtype=kind).tobytes())
+                    last = h
+            yield _batch(_CODES, [hashes, ids])
 
     return run
 
@@ -246,24 +247,38 @@ def _assemble(path: str):
 def encode_corpus(docs: DataFrame, path: str | None = None, least: int = 256, mean: int = 1024, most: int = 8192, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every row of docs: its text's token ids without special tokens.
 
-    Texts are cut into content-defined chunks of about `mean` characters; equal chunks
-    of all documents meet in one partition (rebalanced, so the copies of a hot chunk
-    are split among tasks) and are encoded once there; ids travel as two bytes each.
-    Each document is then put together from its chunks in order and hard cuts are
-    repaired, so the result is exactly that of encoding the whole text.
+    Texts are cut into content-defined chunks of about `mean` characters, told by hashes
+    of 128 bits. Of equal chunks a task sends the text once, each distinct chunk of the
+    corpus is encoded once, and its ids (of two bytes each) go back to all its places;
+    chunks with many places are joined by broadcast. Each document is then put together
+    from its chunks in order and hard cuts are repaired by encoding the span around them
+    again, so the result is exactly that of encoding the whole text.
 
     Null and empty texts give an empty list. Special-token strings in a text are
     ordinary text. Every row gives a row, repeated rows included; an empty table
     gives none. Extra columns are not read.
     """
     path = path or vocabulary_path()
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    chunks = rows.mapInArrow(_chunk(least, mean, most), "uid bigint, doc_id bigint, seq int, cut byte, h bigint, text string")
-    encoded = chunks.hint("rebalance", "h").select("uid", "doc_id", "seq", "cut", "text").mapInArrow(_encode(path), "uid bigint, doc_id bigint, seq int, cut byte, ids binary, text string")
-    whole = encoded.repartition("uid").sortWithinPartitions("uid", "seq").select("uid", "doc_id", "cut", "ids", "text")
+    chunks = written(corpus_chunks(docs, least, mean, most, key, text), "chunks")
+    codes = written(chunks.where("text is not null").select("h", "text").repartition("h").sortWithinPartitions("h").mapInArrow(_encode(path), "h binary, ids binary"), "codes")
+    places = chunks.select("uid", "doc_id", "seq", "cut", "h", F.when(F.col("cut") != 0, F.col("text")).alias("text"))
+    encoded = spread_join(places, codes, "h", hot_keys(places, "h", chunks.count()))
+    whole = encoded.select("uid", "doc_id", "seq", "cut", "ids", "text").repartition("uid").sortWithinPartitions("uid", "seq").select("uid", "doc_id", "cut", "ids", "text")
     return whole.mapInArrow(_assemble(path), "doc_id bigint, ids array<int>")
 
 
+def corpus_chunks(docs: DataFrame, least: int = 256, mean: int = 1024, most: int = 8192, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(uid, doc_id, seq, cut, h, size, text): the content-defined chunks of every row, in order; see encode_corpus()."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(_chunk(least, mean, most), "uid bigint, doc_id bigint, seq int, cut byte, h binary, size int, text string")
+
+
+def p8_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n_chunks, n_distinct, n_chars, n_encoded): chunks and characters of all documents, and how many of them are encoded."""
+    each = corpus_chunks(table(spark, sf_dir, "documents", "doc_id", "text")).groupBy("h").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+    return each.agg(F.sum("n").alias("n_chunks"), F.count("*").alias("n_distinct"), F.sum(F.col("n") * F.col("size")).alias("n_chars"), F.sum("size").cast("bigint").alias("n_encoded"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k; see encode_corpus()."""
     return encode_corpus(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -387,7 +402,7 @@ def cut_places(enc, lengths: np.ndarray, text: str, most: int, overlap: int, fil
         s = back if back > s else end
 
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("piece_no", pa.int32()), ("n_pieces", pa.int32()), ("start_char", pa.int64()), ("end_char", pa.int64()), ("start_token", pa.int64()), ("end_token", pa.int64()), ("n_tokens", pa.int32()), ("cut", pa.string()), ("text", pa.string())])
+_PIECES = pa.schema([("doc_id", pa.int64()), ("piece_no", pa.int32()), ("n_pieces", pa.int32()), ("start_char", pa.int64()), ("end_char", pa.int64()), ("start_token", pa.int64()), ("end_token", pa.int64()), ("n_tokens", pa.int32()), ("over", pa.bool_()), ("cut", pa.string()), ("text", pa.string())])
 
 
 def _split(path: str, filled: float):
@@ -404,7 +419,7 @@ def _split(path: str, filled: float):
                 chars = None if len(data) == len(text) else np.concatenate(([0], np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)))
                 for no, (a, b, s, e, n, kind) in enumerate(places, 1):
                     x, y = (a, b) if chars is None else (int(chars[a]), int(chars[b]))
-                    for c, v in zip(columns, (doc_id, no, len(places), x, y, s, e, n, kind, text[x:y])):
+                    for c, v in zip(columns, (doc_id, no, len(places), x, y, s, e, n, n > most, kind, text[x:y])):
                         c.append(v)
                     size += b - a
             if size > _BATCH_BYTES:
@@ -420,8 +435,9 @@ def split_oversized(docs: DataFrame, limits: DataFrame, path: str | None = None,
     """The pieces of every text longer than the max_tokens of its source; see cut_places().
 
     Columns doc_id, piece_no (from 1), n_pieces, start_char, end_char, start_token,
-    end_token, n_tokens, cut (paragraph, line, sentence, word, hard, or end for the
-    last piece) and text. Texts within the limit, null and empty texts give no row,
+    end_token, n_tokens, over, cut (paragraph, line, sentence, word, hard, or end for the
+    last piece) and text. over is true for the pieces above the limit, which only a limit
+    below the tokens of a single character can force. Texts within the limit, null and empty texts give no row,
     nor do documents whose source is null or has no positive limit. A null overlap is
     0, an overlap of the limit or more is the limit less one. A source listed twice
     takes its smallest limit. Repeated rows give their pieces again. No row is moved:
@@ -433,7 +449,7 @@ def split_oversized(docs: DataFrame, limits: DataFrame, path: str | None = None,
         one = F.broadcast(one)
     # A text has at most as many tokens as bytes, so shorter ones need no encoding.
     long = docs.select("doc_id", "text", "source").join(one, "source").where("octet_length(text) > max_tokens")
-    return long.select(F.col("doc_id").cast("bigint"), "text", "max_tokens", "overlap_tokens").mapInArrow(_split(path, filled), "doc_id bigint, piece_no int, n_pieces int, start_char bigint, end_char bigint, start_token bigint, end_token bigint, n_tokens int, cut string, text string")
+    return long.select(F.col("doc_id").cast("bigint"), "text", "max_tokens", "overlap_tokens").mapInArrow(_split(path, filled), "doc_id bigint, piece_no int, n_pieces int, start_char bigint, end_char bigint, start_token bigint, end_token bigint, n_tokens int, over boolean, cut string, text string")
 
 
 def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
