@@ -162,11 +162,11 @@ def _hash(tag: str, word: str) -> int:
 
 @lru_cache(maxsize=1 << 16)
 def _print(word: str) -> int:
-    return 1 + xxhash.xxh3_64_intdigest(word) % 255
+    return 1 + xxhash.xxh3_64_intdigest(word) % 4095
 
 
-_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64())), ("people", pa.binary())])
-_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, t string, mark string, names string, words array<bigint>, families array<bigint>, people binary"
+_NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64())), ("people", pa.list_(pa.int16()))])
+_NODES_DDL = "id string, source string, doi string, arxiv string, year int, day int, t string, mark string, names string, words array<bigint>, families array<bigint>, people array<smallint>"
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,15 +175,15 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [author_names(a) for a in batch.column(7).to_pylist()]
         words = [list(dict.fromkeys([_hash("w", w) for w in t])) for t, _ in titles]
         families = [list(dict.fromkeys([_hash("f", family(x)) for x in each])) for each in names]
-        people = [bytes({_print(w) for x in each for w in x.split(" ")}) for each in names]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.array(people, pa.binary())], schema=_NODES)
+        people = [list({_print(w) for x in each for w in x.split(" ")}) for each in names]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.array(people, pa.list_(pa.int16()))], schema=_NODES)
 
 
 def records(observations: DataFrame) -> DataFrame:
     """The nodes of the graph, one for each observation row: identifiers as compared, title words, mark, author names.
 
     words and families are the hashes of the distinct title words and families of authors,
-    in order, and people the fingerprints of all words of authors' names, a byte each.
+    in order, and people the fingerprints of all words of authors' names.
     """
     o = observations.where("observation_id is not null").select(F.col("observation_id").alias("id"), F.col("source_name").alias("source"), id_key(F.col("normalized_doi")).alias("doi"), id_key(F.col("normalized_arxiv_id")).alias("arxiv"), F.col("publication_year").cast("int").alias("year"), F.datediff("publication_date", F.lit("1970-01-01").cast("date")).alias("day"), "title", "raw_authors")
     return o.mapInArrow(_prepared, _NODES_DDL)
@@ -197,13 +197,13 @@ COUNTERS = 1 << 19
 WORD_FAMILY, WORDS, TITLE, FAMILY_DAY, WORD = range(5)
 #: Titles of more words meet over single ones; those from LONG on do so too.
 LONG, LONGEST = 14, 26
-#: Words of a title, and words of authors' names, whose fingerprints (of 16 and 8 bits) a row of a key bears.
-PRINTS, NAME_PRINTS = 8, 24
-_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("q3", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
-_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
+#: Words of a title, and words of authors' names, whose fingerprints (of 16 and 12 bits) a row of a key bears.
+PRINTS, NAME_PRINTS = 12, 16
+_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("p3", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("q3", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
+_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, p3 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), *list(_ROW)[:1], *list(_ROW)[2:]])
-_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
-_SIDE = ("p1", "p2", "q1", "q2", "q3", "own", "size", "more")
+_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, p3 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
+_SIDE = ("p1", "p2", "p3", "q1", "q2", "q3", "own", "size", "more")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -255,8 +255,13 @@ def attributes(shared):
                 valid = np.arange(PRINTS) < np.minimum(known, PRINTS)[:, None]
                 prints = np.where(valid, np.maximum(_mixed(w[:, :PRINTS]) >> np.uint64(48), np.uint64(1)), np.uint64(0)).astype(np.uint16)
                 p = np.ascontiguousarray(prints).view(np.int64)
-                q = b"".join([x.ljust(NAME_PRINTS, b"\0") if len(x) <= NAME_PRINTS else bytes(NAME_PRINTS) for x in batch.column(5).to_pylist()])
-                q = np.frombuffer(q, dtype=np.int64).reshape(-1, NAME_PRINTS // 8)
+                people, psize = flat(batch.column(5))
+                pat, pplace = np.repeat(rows, psize), np.arange(len(people)) - np.repeat(np.cumsum(psize) - psize, psize)
+                fits = psize[pat] <= NAME_PRINTS
+                named = np.zeros((len(n), NAME_PRINTS), dtype=np.uint16)
+                named[pat[fits], pplace[fits]] = people[fits]
+                q = np.ascontiguousarray((named & 255).astype(np.uint8)).view(np.int64)
+                q3 = np.ascontiguousarray(((named[:, ::2] >> 8) | ((named[:, 1::2] >> 8) << 4)).astype(np.uint8)).view(np.int64)[:, 0]
                 fat = np.repeat(rows, fsize)
                 own = np.zeros(len(n), dtype=np.uint64)
                 np.bitwise_or.at(own, fat, np.uint64(1) << (families.view(np.uint64) & np.uint64(63)))
@@ -293,12 +298,18 @@ def attributes(shared):
                 put(FAMILY_DAY, _key(FAMILY_DAY, first, day.fill_null(0).to_numpy()[ok].astype(np.int64).view(np.uint64)), ok)
                 of_ = np.concatenate(of)
                 limit = lambda x: np.minimum(x, 2**15 - 1).astype(np.int16)
-                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], q[of_, 0], q[of_, 1], q[of_, 2], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
+                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], p[of_, 2], q[of_, 0], q[of_, 1], q3[of_], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, _ROW)], schema=_ROW)
 
     return run
 
 
+def _names(q1: np.ndarray, q2: np.ndarray, q3: np.ndarray) -> np.ndarray:
+    """The fingerprints of names' words, of which q1 and q2 have the low 8 bits and q3 the high 4."""
+    high = q3.view(np.uint8).reshape(-1, NAME_PRINTS // 2)
+    return np.stack([q1, q2], 1).view(np.uint8).astype(np.uint16) | (np.stack([high & 15, high >> 4], 2).reshape(-1, NAME_PRINTS).astype(np.uint16) << 8)
+
+
 def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.ndarray:
     """Whether titles may have enough words in common, by fingerprints; x and y hold the columns of _SIDE.
 
@@ -306,9 +317,9 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
     bound is never below the number of common words. Lists of names with more words than
     fit (and empty ones) count as if they had one in common.
     """
-    (a1, a2, *qa, own_a, size_a, more_a), (b1, b2, *qb, own_b, size_b, more_b) = x, y
+    (a1, a2, a3, *qa, own_a, size_a, more_a), (b1, b2, b3, *qb, own_b, size_b, more_b) = x, y
     prints = lambda kind, *p: np.stack(p, 1).view(kind)
-    a, b = prints(np.uint16, a1, a2), prints(np.uint16, b1, b2)
+    a, b = prints(np.uint16, a1, a2, a3), prints(np.uint16, b1, b2, b3)
     common = more_a.astype(np.int32) + more_b
     for k in range(PRINTS):
         one = a[:, k]
@@ -316,9 +327,9 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
     short = np.minimum(size_a, size_b)
     alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
     ok = (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
-    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & (qa[0] != 0) & (qb[0] != 0))
+    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & ((qa[0] | qa[2]) != 0) & ((qb[0] | qb[2]) != 0))
     if len(doubt):
-        a, b = prints(np.uint8, *(q[doubt] for q in qa)), prints(np.uint8, *(q[doubt] for q in qb))
+        a, b = _names(*(q[doubt] for q in qa)), _names(*(q[doubt] for q in qb))
         shared = np.zeros(len(doubt), dtype=bool)
         for k in range(NAME_PRINTS):
             open_ = np.flatnonzero(~shared & (a[:, k] != 0))
@@ -328,9 +339,9 @@ def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.
         ok[doubt[~shared]] = False
     # Equal titles meet as such, once, and need no other key: all their words have a fingerprint.
     every = lambda p, size, more: ((p != 0).sum(1) == size) & (more == 0)
-    twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (a1 == b1) & (a2 == b2) & (size_a == size_b))
+    twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (a1 == b1) & (a2 == b2) & (a3 == b3) & (size_a == size_b))
     if len(twin):
-        ok[twin[every(prints(np.uint16, a1[twin], a2[twin]), size_a[twin], more_a[twin] + more_b[twin])]] = False
+        ok[twin[every(prints(np.uint16, a1[twin], a2[twin], a3[twin]), size_a[twin], more_a[twin] + more_b[twin])]] = False
     return ok
 
 
@@ -378,7 +389,7 @@ def _met(block: int):
                 for k in range(0, len(of_size), step):
                     at = of_size[k : k + step]
                     x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    ok = _possible([c[x] for c in cols[2:10]], [c[y] for c in cols[2:10]], cols[10][x])
+                    ok = _possible([c[x] for c in cols[2:11]], [c[y] for c in cols[2:11]], cols[11][x])
                     a, b = cols[1][x[ok]], cols[1][y[ok]]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
@@ -390,7 +401,7 @@ def _met(block: int):
                 yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
             if rest:
                 rows = np.concatenate(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, *range(2, 11)), list(_MET)[2:]))], schema=_MET)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, *range(2, 12)), list(_MET)[2:]))], schema=_MET)
 
     return run
 
@@ -406,7 +417,7 @@ def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
         for k in range(0, len(c[0]), _AT_ONCE):
             d = [x[k : k + _AT_ONCE] for x in c]
-            ok = _possible(d[3:11], d[11:19], d[0])
+            ok = _possible(d[3:12], d[12:21], d[0])
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[1], d[2])[ok]), pa.array(np.maximum(d[1], d[2])[ok])], names=["a", "b"])
 
 

@@ -189,7 +189,7 @@ def test_titles_with_enough_in_common_share_a_key(sizes):
     titles = [list(dict.fromkeys(t)) for t in titles]
     counts = np.random.default_rng(1).integers(2, 50, matching.COUNTERS)
     families = [[7], [7, 9], [7, 9, 11]] * 40
-    batch = pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array(titles, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.nulls(120, pa.int32()), pa.array([False] * 120), pa.array([b"\x01\x02"] * 120)], names=["n", "words", "families", "day", "several", "people"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array(titles, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.nulls(120, pa.int32()), pa.array([False] * 120), pa.array([[1, 2]] * 120, pa.list_(pa.int16()))], names=["n", "words", "families", "day", "several", "people"])
     shared = type("S", (), {"value": counts})
     rows = [r for b in matching.attributes(shared)(iter([batch])) for r in b.to_pylist()]
     keys, side = [[set() for _ in range(5)] for _ in range(120)], {}
