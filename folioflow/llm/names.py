@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm.canonical import distance
-from folioflow.operators.common import hot_keys, table, written
+from folioflow.operators.common import HOT_SHARE, hot_keys, removed, spread_join, table, written
 
 #: Pet names and the names they are short for.
 PET_NAMES = {
@@ -27,6 +27,8 @@ PET_NAMES = {
 }
 #: Names that stand together and are compared pair by pair; where there are more, a narrower key decides who meets.
 BLOCK = 200
+#: Names of a crowded block that initials alone meet in one task.
+CHUNK = 1000
 #: Spellings of one id that vote together.
 VOTES = 1000
 PARTICLES = frozenset("de di da do dos das del della der den van von vom zu la le du el al bin ibn ter ten st".split())
@@ -191,7 +193,7 @@ def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = B
     """(w, v, cosine) for distinct words (w, count) whose weighted n-gram vectors have a cosine of `least` or more.
 
     Only words that keep their first or last half can be one slip apart, so candidates
-    share an anchored n-gram of half their length; their exact cosine is then the sum
+    share an anchored n-gram of half their length (words of one or two letters only equal ones); their exact cosine is then the sum
     of products over all common n-grams. In an anchor that more than `block` words
     share only those meet that also have a form with up to two letters left out in
     common, which all words two slips apart have.
@@ -210,8 +212,9 @@ def near_words(words: DataFrame, least: float = 0.35, n: int = 3, block: int = B
     pairs = pairs.where(F.levenshtein("w", "v", 2) >= 0)
     grams = words.select("w", F.explode(F.transform(F.sequence(F.lit(1), size + 3 - n), lambda i: F.substring(marked, i, F.lit(n)))).alias("g")).groupBy("w", "g").agg(F.count("*").alias("c"))
     total = words.count()
-    weight = grams.groupBy("g").agg(F.log(1 + F.lit(total) / F.count("*")).alias("idf"))
-    grams = grams.join(weight, "g").select("w", "g", (F.col("c") * F.col("idf")).alias("x"))
+    weight = written(grams.groupBy("g").agg(F.count("*").alias("n")), "weight")
+    hot = weight.where(F.col("n") > max(1000, (weight.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE)).select("g")
+    grams = spread_join(grams, weight.select("g", F.log(1 + F.lit(total) / F.col("n")).alias("idf")), "g", hot).select("w", "g", (F.col("c") * F.col("idf")).alias("x"))
     norm = grams.groupBy("w").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     grams = written(grams.join(norm, "w").select("w", "g", (F.col("x") / F.col("norm")).alias("x")), "grams")
     dots = pairs.join(grams, "w").join(grams.toDF("v", "g", "y"), ["v", "g"]).groupBy("w", "v").agg(F.sum(F.col("x") * F.col("y")).alias("cosine"))
@@ -303,7 +306,7 @@ def average_linkage(edges: DataFrame, sizes: DataFrame, least: float) -> DataFra
     cluster is ever gathered in one task; ties fall to the smaller name.
     """
     now = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").where("a <> b").join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").groupBy("a", "b", "na", "nb").agg((F.max("s") * F.col("na") * F.col("nb")).alias("total")), "links")
-    label = sizes.select("v", F.col("v").alias("cluster"))
+    label = start = sizes.select("v", F.col("v").alias("cluster"))
     while True:
         live = now.select("a", "b", "na", "nb", "total", (F.col("total") / (F.col("na") * F.col("nb"))).alias("s")).where(F.col("s") >= least)
         arcs = live.select(F.col("a").alias("v"), F.col("b").alias("w"), "s").unionByName(live.select(F.col("b").alias("v"), F.col("a").alias("w"), "s"))
@@ -312,12 +315,16 @@ def average_linkage(edges: DataFrame, sizes: DataFrame, least: float) -> DataFra
         merge = best.join(best.select(F.col("v").alias("w"), F.col("w").alias("v")), ["v", "w"]).where("v < w").select("v", "w")
         merge = written(merge, "merge")
         if merge.isEmpty():
+            removed(now)
             return label
         to = merge.select(F.col("w").alias("old"), F.col("v").alias("new"))
+        before, last = label, now
         label = written(label.join(to, label.cluster == to.old, "left").select("v", F.coalesce("new", "cluster").alias("cluster")), "label")
         moved = now.join(to.toDF("a", "ta"), "a", "left").join(to.toDF("b", "tb"), "b", "left").select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"), "total").where("a <> b")
         count = label.join(sizes, "v").groupBy("cluster").agg(F.sum("n").alias("n"))
         now = written(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")).join(count.toDF("a", "na"), "a").join(count.toDF("b", "nb"), "b"), "links")
+        for t in (merge, last, *([before] if before is not start else [])):
+            removed(t)
 
 
 def name_clusters(spellings: DataFrame, least: float = 0.5, block: int = BLOCK) -> DataFrame:
@@ -346,7 +353,7 @@ def name_clusters(spellings: DataFrame, least: float = 0.5, block: int = BLOCK)
     # Where more than `block` profiles stand together, given names meet by forms with letters left out, which all that
     # likeness() accepts have in common: of the name, of the names it is short for and its pet names with one slip; of an
     # organisation, of each word. Initials alone are few and still meet every name.
-    wide = placed.groupBy("block", "start").agg(F.count("*").alias("held")).where(F.col("held") > block).select("block", "start")
+    wide = placed.groupBy("block", "start").agg(F.count("*").alias("held")).where(F.col("held") > block).select("block", "start", F.ceil(F.col("held") / CHUNK).cast("int").alias("chunks"))
     pets: dict[str, str] = {}
     for k, v in PET_NAMES.items():
         for x in v.split():
@@ -357,10 +364,11 @@ def name_clusters(spellings: DataFrame, least: float = 0.5, block: int = BLOCK)
     of_person = F.concat(deep(F.col("x.given")), F.flatten(F.transform(F.concat(related(PET_NAMES), related(pets)), slipped)))
     of_body = F.flatten(F.transform(F.split("x.given", " "), deep))
     forms = F.array_distinct(F.when(F.col("x.body"), of_body).otherwise(of_person))
-    crowded = placed.join(wide, ["block", "start"], "left_semi")
+    crowded = placed.join(wide, ["block", "start"])
     by_form = crowded.where("x.given <> ''").withColumn("form", F.explode(forms))
-    initial = crowded.where("x.given = ''").withColumn("form", F.lit("#"))
-    every = crowded.withColumn("form", F.lit("#"))
+    # All names of a block stand in chunks, and initials alone meet each chunk in a task of its own.
+    initial = crowded.where("x.given = ''").withColumn("form", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.concat(F.lit("#"), c.cast("string")))))
+    every = crowded.withColumn("form", F.concat(F.lit("#"), F.pmod(F.xxhash64("v"), F.col("chunks")).cast("string")))
     calm = placed.join(wide, ["block", "start"], "left_anti").withColumn("form", F.lit(""))
     keep = ["block", "start", "form", "v", "family", "cosine", "x"]
 
