@@ -47,6 +47,7 @@ EXTENDED = ("report", "version", "abstract")
 ROMAN = ("ii", "iii", "iv", "vi", "vii", "viii", "ix")
 LINKS = frozenset("to on of for the a comments comment note notice".split())
 IDLE = ("preprint", "pre-print", "working", "draft", "manuscript", "arxiv", "submitted")
+_IDLE_ANY = re.compile("|".join(IDLE))
 _IDLE_BEFORE = re.compile(r"^\W*(?:preprint|working\s+paper|draft|manuscript|pre-print|arxiv)\s*[:.–—-]\s*", re.I)
 _IDLE_BEHIND = re.compile(r"\W*(?:[\[(]\s*(?:working\s+paper|preprint|pre-print|draft|manuscript|accepted\s+manuscript|submitted)\s*[\])]|:\s*(?:a\s+)?(?:preprint|working\s+paper|draft))\W*$", re.I)
 
@@ -80,6 +81,11 @@ def _behind(word: str) -> str | None:
     return next((k for w, k in MARKS_BEHIND.items() if _slip(word, w)), None)
 
 
+@lru_cache(maxsize=1 << 16)
+def _extended(word: str) -> bool:
+    return _slip(word, "extended")
+
+
 def title_parts(title: str | None) -> tuple[list[str], str]:
     """(words, mark): the telling words of a title in order, and what makes it a work of its own ("" for nothing)."""
     text = title or ""
@@ -88,7 +94,7 @@ def title_parts(title: str | None) -> tuple[list[str], str]:
     if "<" in text or "$" in text or "\\" in text:
         text = _TAG.sub(lambda m: " " if m[0][0] != "<" else "", text)
     text = folded(" ".join(text.split()))
-    for _ in range(2 if any(w in text for w in IDLE) else 0):
+    for _ in range(2 if _IDLE_ANY.search(text) else 0):
         text = _IDLE_BEHIND.sub("", _IDLE_BEFORE.sub("", text))
     tokens = _WORD.findall(text)
     marks = []
@@ -105,11 +111,11 @@ def title_parts(title: str | None) -> tuple[list[str], str]:
         kind = _behind(last)
         if kind:
             tokens = tokens[:-1]
-        elif _slip(tokens[-2], "extended") and any(_slip(last, w) for w in EXTENDED):
+        elif _extended(tokens[-2]) and any(_slip(last, w) for w in EXTENDED):
             kind, tokens = "extended", tokens[:-2]
         elif tokens[-2] in ("part", "pt", "vol", "volume", "no", "number") and (last.isdigit() or last in ROMAN or last in ("i", "v", "x")):
             kind, tokens = f"part {last}", tokens[:-2]
-        elif last in ROMAN or re.fullmatch("[2-9]", last):
+        elif last in ROMAN or len(last) == 1 and last in "23456789":
             kind, tokens = last, tokens[:-1]
         else:
             break
@@ -132,7 +138,7 @@ def author_names(raw: str | None) -> list[str]:
     out = []
     for r in rows if isinstance(rows, list) else []:
         name = r.get("raw_name") if isinstance(r, dict) else r if isinstance(r, str) else None
-        if not isinstance(name, str) or _ET_AL.match(name):
+        if not isinstance(name, str):
             continue
         tokens = _name_words(name)
         if tokens:
@@ -143,6 +149,9 @@ def author_names(raw: str | None) -> list[str]:
 
 @lru_cache(maxsize=1 << 16)
 def _name_words(name: str) -> str:
+    """The words of a name in order of the alphabet, "" for what stands for others or none."""
+    if _ET_AL.match(name):
+        return ""
     return " ".join(sorted({t for t in _WORD.findall(folded(name).replace("'", "").replace("’", "")) if len(t) >= 3 and t not in ("the", "van", "der", "von", "del", "ibn", "behalf", "for", "and")}))
 
 
@@ -161,8 +170,13 @@ def _hash(tag: str, word: str) -> int:
 
 
 @lru_cache(maxsize=1 << 16)
-def _print(word: str) -> int:
-    return 1 + xxhash.xxh3_64_intdigest(word) % 4095
+def _prints(name: str) -> list[int]:
+    return [1 + xxhash.xxh3_64_intdigest(w) % 4095 for w in name.split(" ")]
+
+
+@lru_cache(maxsize=1 << 16)
+def _family_hash(name: str) -> int:
+    return _hash("f", family(name))
 
 
 _NODES = pa.schema([("id", pa.string()), ("source", pa.string()), ("doi", pa.string()), ("arxiv", pa.string()), ("year", pa.int32()), ("day", pa.int32()), ("t", pa.string()), ("mark", pa.string()), ("names", pa.string()), ("words", pa.list_(pa.int64())), ("families", pa.list_(pa.int64())), ("people", pa.list_(pa.int16()))])
@@ -174,8 +188,8 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         titles = [title_parts(t) for t in batch.column(6).to_pylist()]
         names = [author_names(a) for a in batch.column(7).to_pylist()]
         words = [list(dict.fromkeys([_hash("w", w) for w in t])) for t, _ in titles]
-        families = [list(dict.fromkeys([_hash("f", family(x)) for x in each])) for each in names]
-        people = [list({_print(w) for x in each for w in x.split(" ")}) for each in names]
+        families = [list(dict.fromkeys([_family_hash(x) for x in each])) for each in names]
+        people = [list(set().union(*[_prints(x) for x in each])) for each in names]
         yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array([" ".join(t) for t, _ in titles], pa.string()), pa.array([m for _, m in titles], pa.string()), pa.array(["|".join(x) for x in names], pa.string()), pa.array(words, pa.list_(pa.int64())), pa.array(families, pa.list_(pa.int64())), pa.array(people, pa.list_(pa.int16()))], schema=_NODES)
 
 
