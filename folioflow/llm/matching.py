@@ -213,11 +213,25 @@ WORD_FAMILY, WORDS, TITLE, FAMILY_DAY, WORD = range(5)
 LONG, LONGEST = 14, 26
 #: Words of a title, and words of authors' names, whose fingerprints (of 16 and 12 bits) a row of a key bears.
 PRINTS, NAME_PRINTS = 12, 16
-_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("p3", pa.int64()), ("q1", pa.int64()), ("q2", pa.int64()), ("q3", pa.int64()), ("own", pa.int64()), ("size", pa.int16()), ("more", pa.int16()), ("rule", pa.int8())])
-_ROW_DDL = "key bigint, n bigint, p1 bigint, p2 bigint, p3 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
-_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), *list(_ROW)[:1], *list(_ROW)[2:]])
-_MET_DDL = "a bigint, b bigint, key bigint, p1 bigint, p2 bigint, p3 bigint, q1 bigint, q2 bigint, q3 bigint, own bigint, size smallint, more smallint, rule byte"
-_SIDE = ("p1", "p2", "p3", "q1", "q2", "q3", "own", "size", "more")
+#: side packs what is compared, as one column is cheaper to move than nine: bytes of the title's fingerprints, the low and high bits of the names', the families' bits, the number of words and that of words without a fingerprint.
+_SIDE = {"prints": slice(0, 24), "low": slice(24, 40), "high": slice(40, 48), "own": slice(48, 56), "size": slice(56, 58), "more": slice(58, 60)}
+_WIDTH = 60
+_ROW = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("side", pa.binary()), ("rule", pa.int8())])
+_ROW_DDL = "key bigint, n bigint, side binary, rule byte"
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("side", pa.binary()), ("rule", pa.int8())])
+_MET_DDL = "a bigint, b bigint, key bigint, side binary, rule byte"
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """A matrix of bytes as a column of its rows."""
+    rows = np.ascontiguousarray(rows)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * _WIDTH), pa.py_buffer(rows)])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """The matrix of bytes of a column of _packed()."""
+    at = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[at[0] : at[-1]].reshape(-1, _WIDTH)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -268,14 +282,11 @@ def attributes(shared):
                 known = np.bincount(at[c > 1], minlength=len(n))
                 valid = np.arange(PRINTS) < np.minimum(known, PRINTS)[:, None]
                 prints = np.where(valid, np.maximum(_mixed(w[:, :PRINTS]) >> np.uint64(48), np.uint64(1)), np.uint64(0)).astype(np.uint16)
-                p = np.ascontiguousarray(prints).view(np.int64)
                 people, psize = flat(batch.column(5))
                 pat, pplace = np.repeat(rows, psize), np.arange(len(people)) - np.repeat(np.cumsum(psize) - psize, psize)
                 fits = psize[pat] <= NAME_PRINTS
                 named = np.zeros((len(n), NAME_PRINTS), dtype=np.uint16)
                 named[pat[fits], pplace[fits]] = people[fits]
-                q = np.ascontiguousarray((named & 255).astype(np.uint8)).view(np.int64)
-                q3 = np.ascontiguousarray(((named[:, ::2] >> 8) | ((named[:, 1::2] >> 8) << 4)).astype(np.uint8)).view(np.int64)[:, 0]
                 fat = np.repeat(rows, fsize)
                 own = np.zeros(len(n), dtype=np.uint64)
                 np.bitwise_or.at(own, fat, np.uint64(1) << (families.view(np.uint64) & np.uint64(63)))
@@ -312,50 +323,54 @@ def attributes(shared):
                 put(FAMILY_DAY, _key(FAMILY_DAY, first, day.fill_null(0).to_numpy()[ok].astype(np.int64).view(np.uint64)), ok)
                 of_ = np.concatenate(of)
                 limit = lambda x: np.minimum(x, 2**15 - 1).astype(np.int16)
-                cols = [np.concatenate(keys), n[of_], p[of_, 0], p[of_, 1], p[of_, 2], q[of_, 0], q[of_, 1], q3[of_], own.view(np.int64)[of_], limit(size)[of_], limit(np.maximum(0, known - PRINTS))[of_], np.concatenate(rules)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, _ROW)], schema=_ROW)
+                side = np.zeros((len(n), _WIDTH), dtype=np.uint8)
+                for part, kind, x in (("prints", np.uint16, prints), ("low", np.uint8, named & 255), ("high", np.uint8, (named[:, ::2] >> 8) | ((named[:, 1::2] >> 8) << 4)), ("own", np.uint64, own[:, None]), ("size", np.int16, limit(size)[:, None]), ("more", np.int16, limit(np.maximum(0, known - PRINTS))[:, None])):
+                    side[:, _SIDE[part]] = np.ascontiguousarray(x.astype(kind)).view(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(n[of_]), _packed(side[of_]), pa.array(np.concatenate(rules), pa.int8())], schema=_ROW)
 
     return run
 
 
-def _names(q1: np.ndarray, q2: np.ndarray, q3: np.ndarray) -> np.ndarray:
-    """The fingerprints of names' words, of which q1 and q2 have the low 8 bits and q3 the high 4."""
-    high = q3.view(np.uint8).reshape(-1, NAME_PRINTS // 2)
-    return np.stack([q1, q2], 1).view(np.uint8).astype(np.uint16) | (np.stack([high & 15, high >> 4], 2).reshape(-1, NAME_PRINTS).astype(np.uint16) << 8)
+def _names(side: np.ndarray) -> np.ndarray:
+    """The fingerprints of names' words."""
+    low, high = side[:, _SIDE["low"]], side[:, _SIDE["high"]]
+    return low.astype(np.uint16) | (np.stack([high & 15, high >> 4], 2).reshape(-1, NAME_PRINTS).astype(np.uint16) << 8)
 
 
-def _possible(x: list[np.ndarray], y: list[np.ndarray], rule: np.ndarray) -> np.ndarray:
-    """Whether titles may have enough words in common, by fingerprints; x and y hold the columns of _SIDE.
+def _possible(x: np.ndarray, y: np.ndarray, rule: np.ndarray) -> np.ndarray:
+    """Whether titles may have enough words in common, by fingerprints; x and y hold what _SIDE packs.
 
     Equal words have equal fingerprints and words without one count as common, so the
     bound is never below the number of common words. Lists of names with more words than
     fit (and empty ones) count as if they had one in common.
     """
-    (a1, a2, a3, *qa, own_a, size_a, more_a), (b1, b2, b3, *qb, own_b, size_b, more_b) = x, y
-    prints = lambda kind, *p: np.stack(p, 1).view(kind)
-    a, b = prints(np.uint16, a1, a2, a3), prints(np.uint16, b1, b2, b3)
+    part = lambda side, name, kind: side[:, _SIDE[name]].view(kind)
+    a, b = part(x, "prints", np.uint16), part(y, "prints", np.uint16)
+    (own_a, size_a, more_a), (own_b, size_b, more_b) = ([part(z, name, kind)[:, 0] for name, kind in (("own", np.uint64), ("size", np.int16), ("more", np.int16))] for z in (x, y))
     common = more_a.astype(np.int32) + more_b
     for k in range(PRINTS):
         one = a[:, k]
+        if not one.any():
+            break
         common += (b == one[:, None]).any(1) & (one != 0)
     short = np.minimum(size_a, size_b)
     alone = (rule == WORDS) & (own_a != 0) & (own_b != 0) & ((own_a & own_b) == 0)
     ok = (common >= np.where(alone, SHARE_ALONE, SHARE) * short - 1e-9) & ((rule != FAMILY_DAY) | (short == 0))
-    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) & ((qa[0] | qa[2]) != 0) & ((qb[0] | qb[2]) != 0))
+    doubt = np.flatnonzero(ok & ((rule == WORDS) | (rule == WORD)) & (common < SHARE_APART * short - 1e-9) )
     if len(doubt):
-        a, b = _names(*(q[doubt] for q in qa)), _names(*(q[doubt] for q in qb))
-        shared = np.zeros(len(doubt), dtype=bool)
+        p, q = _names(x[doubt]), _names(y[doubt])
+        shared = ~(p.any(1) & q.any(1))
         for k in range(NAME_PRINTS):
-            open_ = np.flatnonzero(~shared & (a[:, k] != 0))
+            open_ = np.flatnonzero(~shared & (p[:, k] != 0))
             if not len(open_):
                 break
-            shared[open_] = (b[open_] == a[open_, k][:, None]).any(1)
+            shared[open_] = (q[open_] == p[open_, k][:, None]).any(1)
         ok[doubt[~shared]] = False
     # Equal titles meet as such, once, and need no other key: all their words have a fingerprint.
-    every = lambda p, size, more: ((p != 0).sum(1) == size) & (more == 0)
-    twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (a1 == b1) & (a2 == b2) & (a3 == b3) & (size_a == size_b))
+    twin = np.flatnonzero(ok & (rule != TITLE) & (rule != FAMILY_DAY) & (size_a == size_b) & (common >= size_a) & (more_a == 0) & (more_b == 0))
     if len(twin):
-        ok[twin[every(prints(np.uint16, a1[twin], a2[twin], a3[twin]), size_a[twin], more_a[twin] + more_b[twin])]] = False
+        p = a[twin]
+        ok[twin[(p == b[twin]).all(1) & ((p != 0).sum(1) == size_a[twin])]] = False
     return ok
 
 
@@ -374,9 +389,9 @@ def _met(block: int):
         hot = None
         for batch in _and_none(batches):
             if batch is not None:
-                now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                if not len(now[0]):
+                if not batch.num_rows:
                     continue
+                now = [_unpacked(c) if c.type == pa.binary() else c.to_numpy(zero_copy_only=False) for c in batch.columns]
                 cols = [np.concatenate(x) for x in zip(held, now)] if held else now
             else:
                 cols = held
@@ -403,7 +418,7 @@ def _met(block: int):
                 for k in range(0, len(of_size), step):
                     at = of_size[k : k + step]
                     x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    ok = _possible([c[x] for c in cols[2:11]], [c[y] for c in cols[2:11]], cols[11][x])
+                    ok = _possible(cols[2][x], cols[2][y], cols[3][x])
                     a, b = cols[1][x[ok]], cols[1][y[ok]]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             rest = [np.arange(s, e) for s, e, h in zip(starts, ends, is_hot) if h]
@@ -415,7 +430,7 @@ def _met(block: int):
                 yield pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(_MET)[2:])], schema=_MET)
             if rest:
                 rows = np.concatenate(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), *(pa.array(cols[c][rows], f.type) for c, f in zip((0, *range(2, 12)), list(_MET)[2:]))], schema=_MET)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[1][rows]), pa.nulls(len(rows), pa.int64()), pa.array(cols[0][rows]), _packed(cols[2][rows]), pa.array(cols[3][rows], pa.int8())], schema=_MET)
 
     return run
 
@@ -426,13 +441,13 @@ def _and_none(batches):
 
 
 def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rule, nx, ny, columns of _SIDE of x, of y) into the possible pairs (a, b)."""
+    """(rule, nx, ny, sidex, sidey) into the possible pairs (a, b)."""
     for batch in batches:
-        c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
-        for k in range(0, len(c[0]), _AT_ONCE):
-            d = [x[k : k + _AT_ONCE] for x in c]
-            ok = _possible(d[3:12], d[12:21], d[0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[1], d[2])[ok]), pa.array(np.maximum(d[1], d[2])[ok])], names=["a", "b"])
+        for k in range(0, batch.num_rows, _AT_ONCE):
+            one = batch.slice(k, _AT_ONCE)
+            rule, x, y = (one.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            ok = _possible(_unpacked(one.column(3)), _unpacked(one.column(4)), rule)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], names=["a", "b"])
 
 
 def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFrame:
@@ -442,11 +457,11 @@ def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFr
     """
     chunk = lambda rows: rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("k")), "key").withColumn("c", F.pmod(F.xxhash64("n"), F.col("k")).cast("int"))
     x, y = chunk(left), chunk(right)
-    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", *_SIDE)])
+    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", "side")])
     one = side(x.join(y.groupBy("key").agg(F.max("k").alias("other")), "key").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other") - 1))), "x", [F.col("c").alias("i"), "j"])
     two = side(y.join(x.groupBy("key").agg(F.max("k").alias("mine")), "key").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("mine") - 1))), "y", ["i", F.col("c").alias("j")])
     both = one.join(two.drop("rule"), ["key", "i", "j"]).where(F.col("nx") < F.col("ny") if same else F.col("nx") != F.col("ny"))
-    return both.select("rule", "nx", "ny", *[f"{c}x" for c in _SIDE], *[f"{c}y" for c in _SIDE]).mapInArrow(_crossed, "a bigint, b bigint")
+    return both.select("rule", "nx", "ny", "sidex", "sidey").mapInArrow(_crossed, "a bigint, b bigint")
 
 
 def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -459,7 +474,7 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     compared in tasks of block times block rows, so none gets a hot key whole.
     """
     cut = lambda rows: written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met(block), _MET_DDL), "met")
-    hot_of = lambda met: met.where("key is not null").select("key", F.col("a").alias("n"), *_SIDE, "rule")
+    hot_of = lambda met: met.where("key is not null").select("key", F.col("a").alias("n"), "side", "rule")
     met = cut(keys)
     tables, pairs, hot = [met], met.where("key is null").select("a", "b"), hot_of(met)
     if hot.isEmpty():

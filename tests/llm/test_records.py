@@ -195,7 +195,7 @@ def test_titles_with_enough_in_common_share_a_key(sizes):
     keys, side = [[set() for _ in range(5)] for _ in range(120)], {}
     for r in rows:
         keys[r["n"]][r["rule"]].add(r["key"])
-        side[r["n"]] = [np.array([r[c]], dtype=matching._ROW.field(c).type.to_pandas_dtype()) for c in matching._SIDE]
+        side[r["n"]] = np.frombuffer(r["side"], dtype=np.uint8).reshape(1, -1)
     seen = 0
     for i in range(120):
         for j in range(i):
