@@ -60,7 +60,7 @@ def folded(text: str) -> str:
     return text.lower() if text.isascii() else _COMBINING.sub("", unicodedata.normalize("NFKD", text)).lower()
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _letters(word: str) -> frozenset:
     return frozenset(word)
 
@@ -71,17 +71,17 @@ def _slip(typed: str, word: str) -> bool:
     return typed == word or most > 0 and abs(len(typed) - len(word)) <= most and len(_letters(typed) ^ _letters(word)) <= 2 * most and distance(typed, word, most) <= most
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _before(word: str) -> str | None:
     return next((k for w, k in MARKS_BEFORE.items() if _slip(word, w)), None)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _behind(word: str) -> str | None:
     return next((k for w, k in MARKS_BEHIND.items() if _slip(word, w)), None)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _extended(word: str) -> bool:
     return _slip(word, "extended")
 
@@ -147,7 +147,7 @@ def author_names(raw: str | None) -> list[str]:
     return [t for _, _, t in sorted(out)]
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _name_words(name: str) -> str:
     """The words of a name in order of the alphabet, "" for what stands for others or none."""
     if _ET_AL.match(name):
@@ -164,17 +164,17 @@ def family(name: str) -> str:
     return best
 
 
-@lru_cache(maxsize=1 << 18)
+@lru_cache(maxsize=1 << 15)
 def _hash(tag: str, word: str) -> int:
     return xxhash.xxh3_64_intdigest(tag + word) - (1 << 63)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _prints(name: str) -> list[int]:
     return [1 + xxhash.xxh3_64_intdigest(w) % 4095 for w in name.split(" ")]
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _family_hash(name: str) -> int:
     return _hash("f", family(name))
 
@@ -493,7 +493,7 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
     return pairs, tables
 
 
-@lru_cache(maxsize=1 << 17)
+@lru_cache(maxsize=1 << 15)
 def _word(w: str) -> tuple[str, int, int]:
     """(word, length, bits of its letters)."""
     bits = 0
@@ -511,7 +511,7 @@ def _near(x: tuple[str, int, int], y: tuple[str, int, int]) -> bool:
     return m - n <= most and most > 0 and (x[2] ^ y[2]).bit_count() <= 2 * most and _measured(x[0], y[0], most)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _measured(x: str, y: str, most: int) -> bool:
     return distance(x, y, most) <= most
 
@@ -553,7 +553,7 @@ def title_likeness(a: list[str], b: list[str], least: float = 0.0) -> float:
     return 2 * same / (len(a) + len(b)) if same >= need else 0.0
 
 
-@lru_cache(maxsize=1 << 17)
+@lru_cache(maxsize=1 << 15)
 def _name(name: str) -> tuple[list, list, list]:
     """(words, words of five letters and more, words as such) of a name."""
     words = name.split(" ")
@@ -616,7 +616,7 @@ def confidence(x: dict, y: dict, least: float = 0.0) -> float:
     return 0.6 * title + 0.3 * people + 0.1 * time
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def _title(t: str) -> tuple[list[str], frozenset]:
     tokens = t.split()
     return tokens, frozenset(tokens)
@@ -646,6 +646,8 @@ def _scored(shared, total: int, least: float):
 
         def weight(word: str) -> float:
             if word not in weights:
+                if len(weights) > 1 << 15:
+                    weights.clear()
                 weights[word] = log_total - math.log(max(1, int(counts[(_hash("w", word) % (1 << 64)) % COUNTERS])))
             return weights[word]
 
