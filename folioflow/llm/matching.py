@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.text import id_key
 from folioflow.llm.canonical import distance
 from folioflow.llm.names import slipped, slipped_twice
-from folioflow.operators.common import HOT_SHARE, removed, spread_join, table, written
+from folioflow.operators.common import HOT_SHARE, hot_keys, removed, spread_join, table, written
 
 #: Records of one key that a task compares pair by pair; those of larger keys are split first. It changes cost, not results.
 BLOCK = 256
@@ -441,27 +441,84 @@ def _and_none(batches):
 
 
 def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rule, nx, ny, sidex, sidey) into the possible pairs (a, b)."""
+    """Rows (cell, n, side, rule, part) sorted by cell into the possible pairs (a, b) of a row of part 0 and one of part 1 of each cell.
+
+    Part 2 is both: the rows of such a cell meet each other, each pair once. Only one cell is ever held.
+    """
+
+    def met(cell: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, n, side, rule, part = cell
+        one, two = np.flatnonzero(part != 1), np.flatnonzero(part != 0)
+        step = max(1, _AT_ONCE // max(1, len(two)))
+        for k in range(0, len(one) if len(two) else 0, step):
+            x, y = (z.ravel() for z in np.meshgrid(one[k : k + step], two, indexing="ij"))
+            new = np.where(part[x] == 2, n[x] < n[y], n[x] != n[y])
+            x, y = x[new], y[new]
+            ok = _possible(side[x], side[y], rule[x])
+            x, y = n[x[ok]], n[y[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    held: list[np.ndarray] = []
+    for batch in _and_none(batches):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            now = [_unpacked(c) if c.type == pa.binary() else c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [np.concatenate(x) for x in zip(held, now)] if held else now
+        if not held:
+            return
+        ends = np.append(np.flatnonzero(held[0][1:] != held[0][:-1]) + 1, len(held[0]))
+        done = ends if batch is None else ends[:-1]  # the last cell may go on
+        for start, end in zip(np.append(0, done[:-1]), done):
+            yield from met([c[start:end] for c in held])
+        held = [c[ends[-2] if len(ends) > 1 else 0 :] for c in held]
+
+
+#: Rows of one side in a cell, in blocks: those of a cell are held in one task, so its pairs need no shuffle.
+CELL = 16
+
+
+def _all_of(left: DataFrame, right: DataFrame | None, block: int) -> DataFrame:
+    """(a, b): the possible pairs of a row of left and a row of right of one key, or of two rows of left if right is None.
+
+    The rows of a key are dealt out to chunks of about CELL * block; two chunks are a cell, which is one task's.
+    """
+    chunk = lambda rows: rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / (CELL * block)).cast("int").alias("k")), "key").withColumn("c", F.pmod(F.xxhash64("n"), F.col("k")).cast("int"))
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1)).alias("other")
+    cell = lambda i, j, part: [F.xxhash64("key", i, j).alias("cell"), "n", "side", "rule", part.cast("byte").alias("part")]
+    x = chunk(left)
+    if right is None:
+        c, other = F.col("c"), F.col("other")
+        rows = x.select("*", each("k")).select(*cell(F.least(c, other), F.greatest(c, other), F.when(c == other, 2).otherwise((c > other).cast("int"))))
+    else:
+        y = chunk(right)
+        of = lambda d, e: d.join(e.groupBy("key").agg(F.max("k").alias("ke")), "key").select("*", each("ke"))
+        rows = of(x, y).select(*cell("c", "other", F.lit(0))).unionByName(of(y, x).select(*cell("other", "c", F.lit(1))))
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_crossed, "a bigint, b bigint")
+
+
+def _near_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(0, batch.num_rows, _AT_ONCE):
-            one = batch.slice(k, _AT_ONCE)
-            rule, x, y = (one.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-            ok = _possible(_unpacked(one.column(3)), _unpacked(one.column(4)), rule)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], names=["a", "b"])
+        yield batch.filter(pa.array([_near(_word(x), _word(y)) for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], pa.bool_()))
 
 
-def _all_of(left: DataFrame, right: DataFrame, block: int, same: bool) -> DataFrame:
-    """(a, b): the possible pairs of a row of left and a row of right of one key, in tasks of block times block rows.
+def name_marks(nodes: DataFrame) -> DataFrame:
+    """(n, marks): the hashes of the words of authors' names, and of the lesser words that these are a slip or two from.
 
-    With `same` left and right are the same rows and each pair comes once.
+    So nodes with an equal or a near word of a name have a mark in common. Near words are
+    looked for among the distinct words only, by the forms that slips leave in common.
     """
-    chunk = lambda rows: rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("k")), "key").withColumn("c", F.pmod(F.xxhash64("n"), F.col("k")).cast("int"))
-    x, y = chunk(left), chunk(right)
-    side = lambda d, e, extra: d.select("key", "rule", *extra, *[F.col(c).alias(f"{c}{e}") for c in ("n", "side")])
-    one = side(x.join(y.groupBy("key").agg(F.max("k").alias("other")), "key").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other") - 1))), "x", [F.col("c").alias("i"), "j"])
-    two = side(y.join(x.groupBy("key").agg(F.max("k").alias("mine")), "key").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("mine") - 1))), "y", ["i", F.col("c").alias("j")])
-    both = one.join(two.drop("rule"), ["key", "i", "j"]).where(F.col("nx") < F.col("ny") if same else F.col("nx") != F.col("ny"))
-    return both.select("rule", "nx", "ny", "sidex", "sidey").mapInArrow(_crossed, "a bigint, b bigint")
+    word = F.explode(F.array_distinct(F.split(F.regexp_replace("names", r"\|", " "), " "))).alias("word")
+    held = written(nodes.where("names <> ''").select("n", word), "words")
+    long = F.when(F.char_length("word") >= 7, slipped_twice(F.col("word"))).otherwise(slipped(F.col("word")))
+    forms = written(held.where(F.char_length("word") >= 5).select("word").distinct().select("word", F.explode(F.transform(long, lambda f: F.xxhash64(f))).alias("form")), "forms")
+    near = forms.join(forms.select(F.col("word").alias("lesser"), "form").hint("shuffle_hash"), "form").where("lesser < word").select("word", "lesser").distinct().mapInArrow(_near_names, "word string, lesser string")
+    others = written(near.groupBy("word").agg(F.collect_list("lesser").alias("others")), "near")
+    every = F.explode(F.concat(F.array("word"), F.coalesce("others", F.array().cast("array<string>"))))
+    marks = written(spread_join(held, others, "word", hot_keys(held, "word", held.count()), "left").select("n", every.alias("w")).groupBy("n").agg(F.collect_set(F.xxhash64("w")).alias("marks")), "marks")
+    for t in (held, forms, others):
+        removed(t)
+    return marks
 
 
 def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -469,27 +526,33 @@ def met_pairs(keys: DataFrame, nodes: DataFrame, block: int) -> tuple[DataFrame,
 
     Pairs that are ever accepted agree in the name of an author, slips allowed, unless one
     of them has no authors. So the rows of a key that more than `block` hold are split by
-    the words of their authors' names, each with the forms that slips leave in common,
-    and rows without authors meet all others of the key. What is still held by more is
-    compared in tasks of block times block rows, so none gets a hot key whole.
+    name_marks(), and rows without authors meet all others of the key. Rows of a key that
+    has a family in it agree in a name already, so these are not split: they are compared
+    once, those of a day only with rows that have no title, as others are no pair there.
+    What is compared in full is so in cells, so none gets a hot key whole.
     """
     cut = lambda rows: written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met(block), _MET_DDL), "met")
     hot_of = lambda met: met.where("key is not null").select("key", F.col("a").alias("n"), "side", "rule")
     met = cut(keys)
     tables, pairs, hot = [met], met.where("key is null").select("a", "b"), hot_of(met)
-    if hot.isEmpty():
+    rules = {r.rule for r in hot.select("rule").distinct().collect()}
+    if WORD_FAMILY in rules:
+        pairs = pairs.unionByName(_all_of(hot.where(F.col("rule") == WORD_FAMILY), None, block))
+    if FAMILY_DAY in rules:
+        days = hot.where(F.col("rule") == FAMILY_DAY)
+        pairs = pairs.unionByName(_all_of(days.join(nodes.where("t = ''").select("n"), "n", "left_semi").select(days.columns), days, block))
+    if rules <= {WORD_FAMILY, FAMILY_DAY}:
         return pairs, tables
-    word = F.explode(F.array_distinct(F.split(F.regexp_replace("names", r"\|", " "), " "))).alias("word")
-    deep = F.when(F.char_length("word") >= 7, slipped_twice(F.col("word"))).when(F.char_length("word") >= 5, slipped(F.col("word"))).otherwise(F.array("word"))
-    named = hot.join(nodes.where("names <> ''").select("n", "names"), "n").select(hot.columns + [word]).select(*hot.columns, F.explode(deep).alias("form")).withColumn("key", F.xxhash64("key", "form")).drop("form").distinct()
-    again = cut(named)
-    tables.append(again)
+    hot = hot.where(~F.col("rule").isin(WORD_FAMILY, FAMILY_DAY))
+    marks = name_marks(nodes.join(hot.select("n").distinct(), "n", "left_semi"))
+    again = cut(hot.join(marks, "n").select(*hot.columns, F.explode("marks").alias("mark")).withColumn("key", F.xxhash64("key", "mark")).drop("mark"))
+    tables += [marks, again]
     pairs, still = pairs.unionByName(again.where("key is null").select("a", "b")), hot_of(again)
     if not still.isEmpty():
-        pairs = pairs.unionByName(_all_of(still, still, block, True))
+        pairs = pairs.unionByName(_all_of(still, None, block))
     lone = hot.join(nodes.where("names = ''").select("n"), "n", "left_semi").select(hot.columns)
     if not lone.isEmpty():
-        pairs = pairs.unionByName(_all_of(lone, hot, block, False))
+        pairs = pairs.unionByName(_all_of(lone, hot, block))
     return pairs, tables
 
 

@@ -157,6 +157,17 @@ def test_matching_many_records_of_one_title(spark):
     assert {(f"a{i:02d}", f"b{i:02d}") for i in range(24)} <= got
 
 
+def test_a_hot_key_of_a_family_is_compared_once(spark):
+    import numpy as np
+
+    rows = [(f"o{i:02d}", "crossref", None, None, f"lorith filler{i}", 2020, None, people("The Big Ring Collaboration")) for i in range(30)]
+    nodes = matching.records(works(spark, rows)).withColumn("n", F.monotonically_increasing_id()).cache()
+    shared = spark.sparkContext.broadcast(np.full(matching.COUNTERS, 5))
+    keys = nodes.select("n", "words", "families", "day", F.lit(False).alias("several"), "people").mapInArrow(matching.attributes(shared), matching._ROW_DDL)
+    pairs, _ = matching.met_pairs(keys, nodes, 4)
+    assert pairs.distinct().count() == pairs.count() == 30 * 29 // 2
+
+
 def test_matching_does_not_depend_on_the_block(spark):
     import random
 
