@@ -164,8 +164,9 @@ def test_a_hot_key_of_a_family_is_compared_once(spark):
     nodes = matching.records(works(spark, rows)).withColumn("n", F.monotonically_increasing_id()).cache()
     shared = spark.sparkContext.broadcast(np.full(matching.COUNTERS, 5))
     keys = nodes.select("n", "words", "families", "day", F.lit(False).alias("several"), "people").mapInArrow(matching.attributes(shared), matching._ROW_DDL)
-    pairs, _ = matching.met_pairs(keys, nodes, 4)
-    assert pairs.distinct().count() == pairs.count() == 30 * 29 // 2
+    for block in (1, 4):  # in several cells and in one
+        pairs, _ = matching.met_pairs(keys, nodes, block)
+        assert pairs.distinct().count() == pairs.count() == 30 * 29 // 2
 
 
 def test_matching_does_not_depend_on_the_block(spark):
